@@ -117,10 +117,11 @@ def category_distribution(audience: DataFrame) -> DataFrame:
     counts = audience.groupBy(
         F.coalesce(F.col("preferred_category"), F.lit(UNKNOWN_CATEGORY)).alias("category")
     ).agg(F.count(F.lit(1)).alias("members"))
-    # The grouped table has one row per category; the max is a tiny global agg.
-    top = counts.agg(F.max("members").alias("_top"))
-    return counts.crossJoin(top).select(
-        "category", "members", F.round(F.col("members") / F.col("_top"), 6).alias("share_of_largest")
+    # The largest count is a scalar subquery (one partial+final aggregate),
+    # not a join: every category row just divides by one number.
+    top = counts.agg(F.max("members"))
+    return counts.select(
+        "category", "members", F.round(F.col("members") / top.scalar(), 6).alias("share_of_largest")
     )
 
 
