@@ -188,10 +188,22 @@ class TestWarehouse:
     spark: SparkSession
     sf_dir: str
     spec: CampaignSpec = None  # type: ignore[assignment]
+    # write each mart once to the shared checkpoint folder and read it back
+    materialize: bool = False
 
     def __post_init__(self):
         if self.spec is None:
             self.spec = testdata_spec()
+        self._store = None
+
+    def _mart(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        if self._store is None:
+            from .marts import MartStore
+
+            self._store = MartStore(self.spark)
+        return self._store.write(df, name)
 
     # raw entities ---------------------------------------------------------
     @cached_property
@@ -222,7 +234,7 @@ class TestWarehouse:
     def experiment_assignments(self) -> DataFrame:
         from ..operators.assignment import assign_arms
 
-        return assign_arms(self.eligible_audience, self.spec)
+        return self._mart(assign_arms(self.eligible_audience, self.spec), "experiment_assignments")
 
     @cached_property
     def campaign_touches(self) -> DataFrame:
@@ -237,31 +249,37 @@ class TestWarehouse:
 
         # Pre-campaign touches only; the target campaign's touches are sent
         # after the instant and never enter the contact window.
-        return member_360(
-            self.members, self.listings, self.events, self.historical_touches,
-            self.campaign_exclusions, self.spec,
+        return self._mart(
+            member_360(
+                self.members, self.listings, self.events, self.historical_touches,
+                self.campaign_exclusions, self.spec,
+            ),
+            "member_360",
         )
 
     @cached_property
     def eligible_audience(self) -> DataFrame:
         from ..operators.audience import eligible_audience
 
-        return eligible_audience(self.member_360, self.spec)
+        return self._mart(eligible_audience(self.member_360, self.spec), "eligible_audience")
 
     @cached_property
     def member_outcomes(self) -> DataFrame:
         from ..operators.outcomes import experiment_member_outcomes
 
-        return experiment_member_outcomes(
-            self.eligible_audience, self.experiment_assignments, self.listings,
-            self.campaign_touches, self.spec,
+        return self._mart(
+            experiment_member_outcomes(
+                self.eligible_audience, self.experiment_assignments, self.listings,
+                self.campaign_touches, self.spec,
+            ),
+            "member_outcomes",
         )
 
     @cached_property
     def experiment_results(self) -> DataFrame:
         from ..operators.outcomes import experiment_results
 
-        return experiment_results(self.member_outcomes, self.spec)
+        return self._mart(experiment_results(self.member_outcomes, self.spec), "experiment_results")
 
     def raw(self) -> dict[str, DataFrame]:
         return {
