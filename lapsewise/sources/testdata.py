@@ -291,3 +291,31 @@ class TestWarehouse:
             "campaign_exclusions": self.campaign_exclusions,
             "experiment_assignments": self.experiment_assignments,
         }
+
+    # downstream marts (quality, decision inputs) -----------------------------
+    @cached_property
+    def quality_tables(self):
+        from ..operators.quality import Tables
+
+        return Tables(self.raw(), self.member_360, self.eligible_audience, self.member_outcomes,
+                      self.experiment_results, self.spec)
+
+    @cached_property
+    def quality_results(self) -> DataFrame:
+        from ..operators.quality import quality_results
+
+        return self._mart(quality_results(self.quality_tables), "quality_results")
+
+    @cached_property
+    def decision_inputs(self) -> DataFrame:
+        from ..operators import decision as D
+        from ..operators import experiment as X
+        from ..operators.quality import quality_passed
+
+        results = self.experiment_results
+        cmp = X.comparisons(results, self.spec)
+        srm = X.sample_ratio_mismatch(results, self.spec)
+        bal = X.balance_summary(X.covariate_balance(self.experiment_assignments, self.member_360, self.spec), self.spec)
+        power = X.power_plan(results, self.spec)
+        inputs = D.decision_inputs(cmp, srm, bal, power, quality_passed(self.quality_results))
+        return self._mart(inputs, "decision_inputs")
