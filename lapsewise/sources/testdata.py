@@ -319,3 +319,36 @@ class TestWarehouse:
         power = X.power_plan(results, self.spec)
         inputs = D.decision_inputs(cmp, srm, bal, power, quality_passed(self.quality_results))
         return self._mart(inputs, "decision_inputs")
+
+    # activation sync: first run on an empty destination, then a replay -------
+    @cached_property
+    def activation_records(self) -> DataFrame:
+        from ..operators.activation import activation_records
+
+        recs = activation_records(self.eligible_audience, self.experiment_assignments, self.member_360, self.spec)
+        return self._mart(recs, "activation_records")
+
+    def _sync(self, destination: DataFrame, run_id: str, tag: str):
+        from ..operators.activation import sync
+
+        r = sync(self.activation_records, destination, self.spec, run_id)
+        return self._mart(r.log, f"sync_log_{tag}"), self._mart(r.destination, f"destination_{tag}")
+
+    @cached_property
+    def first_sync(self):
+        from ..operators.activation import empty_destination
+
+        return self._sync(empty_destination(self.spark), "initial-sync", "v1")
+
+    @cached_property
+    def replay_sync(self):
+        return self._sync(self.first_sync[1], "idempotent-replay", "v2")
+
+    @cached_property
+    def reconciliation(self) -> DataFrame:
+        from ..operators.activation import reconciliation, run_summary
+
+        return reconciliation(
+            self.eligible_audience, self.experiment_assignments, self.activation_records,
+            self.replay_sync[1], run_summary(self.replay_sync[0]), self.spec,
+        )
