@@ -352,3 +352,13 @@ class TestWarehouse:
             self.eligible_audience, self.experiment_assignments, self.activation_records,
             self.replay_sync[1], run_summary(self.replay_sync[0]), self.spec,
         )
+
+    @cached_property
+    def decision_report(self) -> DataFrame:
+        """Best arm's comparison row plus readiness and recommendation."""
+        from ..operators import decision as D
+        from ..operators import experiment as X
+
+        best = D.best_variant(X.comparisons(self.experiment_results, self.spec))
+        verdict = D.evaluate(self.decision_inputs, self.spec).select("experiment_id", "rollout_ready", "recommendation")
+        return best.join(verdict, "experiment_id")
