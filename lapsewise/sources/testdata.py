@@ -13,7 +13,6 @@ feature), randomised with X-14, and one touch is emitted per treatment member.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property
 
@@ -21,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import days, hours, minutes, ts
+from ..plans.pipeline import CampaignRun
 from ..spec import HISTORICAL_CAMPAIGN, CampaignSpec, testdata_spec
 
 # ---------------------------------------------------------------------------
@@ -181,31 +181,18 @@ def target_touches(assignments: DataFrame, audience: DataFrame, spec: CampaignSp
     )
 
 
-@dataclass
-class TestWarehouse:
-    """Lazily built raw entities + marts over one supplied scale factor."""
+class TestWarehouse(CampaignRun):
+    """Raw entities mapped from one supplied scale factor, plus every mart.
 
-    spark: SparkSession
-    sf_dir: str
-    spec: CampaignSpec = None  # type: ignore[assignment]
-    # write each mart once to the shared checkpoint folder and read it back
-    materialize: bool = False
+    Assignments and the target campaign's touches are derived (X-14 over the
+    eligible audience); features read pre-campaign touches only, which is
+    exact because target touches are sent after the instant.
+    """
 
-    def __post_init__(self):
-        if self.spec is None:
-            self.spec = testdata_spec()
-        self._store = None
+    def __init__(self, spark: SparkSession, sf_dir: str, spec: CampaignSpec | None = None, materialize: bool = False):
+        super().__init__(spark, spec or testdata_spec(), raw=None, materialize=materialize)
+        self.sf_dir = sf_dir
 
-    def _mart(self, df: DataFrame, name: str) -> DataFrame:
-        if not self.materialize:
-            return df
-        if self._store is None:
-            from .marts import MartStore
-
-            self._store = MartStore(self.spark)
-        return self._store.write(df, name)
-
-    # raw entities ---------------------------------------------------------
     @cached_property
     def events(self) -> DataFrame:
         return events_entity(self.spark, self.sf_dir)
@@ -242,123 +229,6 @@ class TestWarehouse:
             target_touches(self.experiment_assignments, self.eligible_audience, self.spec)
         )
 
-    # marts ------------------------------------------------------------------
-    @cached_property
-    def member_360(self) -> DataFrame:
-        from ..operators.features import member_360
-
-        # Pre-campaign touches only; the target campaign's touches are sent
-        # after the instant and never enter the contact window.
-        return self._mart(
-            member_360(
-                self.members, self.listings, self.events, self.historical_touches,
-                self.campaign_exclusions, self.spec,
-            ),
-            "member_360",
-        )
-
-    @cached_property
-    def eligible_audience(self) -> DataFrame:
-        from ..operators.audience import eligible_audience
-
-        return self._mart(eligible_audience(self.member_360, self.spec), "eligible_audience")
-
-    @cached_property
-    def member_outcomes(self) -> DataFrame:
-        from ..operators.outcomes import experiment_member_outcomes
-
-        return self._mart(
-            experiment_member_outcomes(
-                self.eligible_audience, self.experiment_assignments, self.listings,
-                self.campaign_touches, self.spec,
-            ),
-            "member_outcomes",
-        )
-
-    @cached_property
-    def experiment_results(self) -> DataFrame:
-        from ..operators.outcomes import experiment_results
-
-        return self._mart(experiment_results(self.member_outcomes, self.spec), "experiment_results")
-
-    def raw(self) -> dict[str, DataFrame]:
-        return {
-            "members": self.members,
-            "events": self.events,
-            "listings": self.listings,
-            "campaign_touches": self.campaign_touches,
-            "consent_history": self.consent_history,
-            "campaign_exclusions": self.campaign_exclusions,
-            "experiment_assignments": self.experiment_assignments,
-        }
-
-    # downstream marts (quality, decision inputs) -----------------------------
-    @cached_property
-    def quality_tables(self):
-        from ..operators.quality import Tables
-
-        return Tables(self.raw(), self.member_360, self.eligible_audience, self.member_outcomes,
-                      self.experiment_results, self.spec)
-
-    @cached_property
-    def quality_results(self) -> DataFrame:
-        from ..operators.quality import quality_results
-
-        return self._mart(quality_results(self.quality_tables), "quality_results")
-
-    @cached_property
-    def decision_inputs(self) -> DataFrame:
-        from ..operators import decision as D
-        from ..operators import experiment as X
-        from ..operators.quality import quality_passed
-
-        results = self.experiment_results
-        cmp = X.comparisons(results, self.spec)
-        srm = X.sample_ratio_mismatch(results, self.spec)
-        bal = X.balance_summary(X.covariate_balance(self.experiment_assignments, self.member_360, self.spec), self.spec)
-        power = X.power_plan(results, self.spec)
-        inputs = D.decision_inputs(cmp, srm, bal, power, quality_passed(self.quality_results))
-        return self._mart(inputs, "decision_inputs")
-
-    # activation sync: first run on an empty destination, then a replay -------
-    @cached_property
-    def activation_records(self) -> DataFrame:
-        from ..operators.activation import activation_records
-
-        recs = activation_records(self.eligible_audience, self.experiment_assignments, self.member_360, self.spec)
-        return self._mart(recs, "activation_records")
-
-    def _sync(self, destination: DataFrame, run_id: str, tag: str):
-        from ..operators.activation import sync
-
-        r = sync(self.activation_records, destination, self.spec, run_id)
-        return self._mart(r.log, f"sync_log_{tag}"), self._mart(r.destination, f"destination_{tag}")
-
-    @cached_property
-    def first_sync(self):
-        from ..operators.activation import empty_destination
-
-        return self._sync(empty_destination(self.spark), "initial-sync", "v1")
-
-    @cached_property
-    def replay_sync(self):
-        return self._sync(self.first_sync[1], "idempotent-replay", "v2")
-
-    @cached_property
-    def reconciliation(self) -> DataFrame:
-        from ..operators.activation import reconciliation, run_summary
-
-        return reconciliation(
-            self.eligible_audience, self.experiment_assignments, self.activation_records,
-            self.replay_sync[1], run_summary(self.replay_sync[0]), self.spec,
-        )
-
-    @cached_property
-    def decision_report(self) -> DataFrame:
-        """Best arm's comparison row plus readiness and recommendation."""
-        from ..operators import decision as D
-        from ..operators import experiment as X
-
-        best = D.best_variant(X.comparisons(self.experiment_results, self.spec))
-        verdict = D.evaluate(self.decision_inputs, self.spec).select("experiment_id", "rollout_ready", "recommendation")
-        return best.join(verdict, "experiment_id")
+    @property
+    def feature_touches(self) -> DataFrame:
+        return self.historical_touches
