@@ -4,7 +4,7 @@ run summary and reconciliation -- set-based.
 The reference upserts row by row. Here a whole batch is classified in one
 pass with the same sequential meaning: for a valid row, the destination's
 hash "just before it" is the previous valid row of the same key in batch
-order (``lag`` over ``(key, seq)``), else the stored hash. NULL -> created,
+order (a skew-safe ``lag`` over ``(key, seq)``, see ``ordering``), else the stored hash. NULL -> created,
 equal -> unchanged, different -> updated. The next destination snapshot is
 the old one with each touched key replaced by its last payload
 (``max_by(seq)``). Cost is proportional to batch + destination; partitions
@@ -18,11 +18,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.columns import ts
 from ..schemas import DESTINATION, DESTINATION_FIELDS, IDEMPOTENCY_FIELDS, SYNC_ACTIONS, SYNC_LOG
 from ..spec import CampaignSpec
+from .ordering import previous_in_key
 
 REQUIRED_FIELDS = ("member_id", "campaign_id", "variant", "activation_channel")
 # action/reason vocabulary of the sync log.
@@ -132,11 +132,10 @@ def classify(batch: DataFrame, destination: DataFrame, spec: CampaignSpec) -> Da
         validation(spec).alias("_failure"),
     )
     valid = rows.filter(F.col("_failure").isNull())
-    by_key = Window.partitionBy("idempotency_key").orderBy("seq", "payload_hash")
     dest = destination.select("idempotency_key", F.col("payload_hash").alias("_stored_hash"))
-    prev = valid.select("*", F.lag("payload_hash").over(by_key).alias("_prev_in_batch")).join(
-        dest, "idempotency_key", "left"
-    )
+    # skew-safe lag over (key, seq, payload_hash): a hot key is split by range
+    prev = previous_in_key(valid, "idempotency_key", ["seq", "payload_hash"], "payload_hash",
+                           "_prev_in_batch").join(dest, "idempotency_key", "left")
     before = F.coalesce(F.col("_prev_in_batch"), F.col("_stored_hash"))
     act = (
         F.when(before.isNull(), F.struct(F.lit(CREATED[0]).alias("action"), F.lit(CREATED[1]).alias("reason")))

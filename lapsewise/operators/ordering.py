@@ -1,0 +1,44 @@
+"""Skew-safe "previous row within a key" (an exact, distributed ``lag``).
+
+``lag(...) OVER (PARTITION BY key ORDER BY o)`` sends every row of a key to
+one task; a key holding a third of the data would stall (or spill) there.
+Instead the rows are range-partitioned on ``(key, o)`` -- the sampler splits a
+hot key across many partitions -- and ``lag`` runs inside each range
+partition. The first row of a partition takes its predecessor from the last
+row of the nearest earlier non-empty partition; that boundary table has one
+row per partition (bounded by the partition count, so it is broadcast).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+
+def previous_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
+                    partitions: int | None = None) -> DataFrame:
+    """Adds column ``out`` = ``value`` of the preceding row of the same ``key``
+    in ``order`` (NULL for a key's first row). ``key`` must be non-NULL."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [key, *order]
+    ranged = df.repartitionByRange(n, *sort).withColumn("_pid", F.spark_partition_id())
+    in_part = Window.partitionBy("_pid").orderBy(*sort)
+    local = ranged.select(
+        "*",
+        F.lag(value).over(in_part).alias("_lag_value"),
+        F.lag(key).over(in_part).alias("_lag_key"),
+    )
+    last = ranged.groupBy("_pid").agg(
+        F.max_by(F.struct(F.col(key).alias("k"), F.col(value).alias("v")), F.struct(*sort)).alias("_last")
+    )
+    # at most `n` rows: a single-partition running window is bounded here
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select("_pid", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    joined = local.join(F.broadcast(carry), "_pid", "left")
+    prev = F.when(
+        F.col("_lag_key").isNotNull(),  # not the partition's first row
+        F.when(F.col("_lag_key") == F.col(key), F.col("_lag_value")),
+    ).when(F.col("_carry.k") == F.col(key), F.col("_carry.v"))
+    return joined.select(*df.columns, prev.alias(out))

@@ -165,3 +165,16 @@ def test_stream_sync_is_idempotent_under_redelivery(spark, spec, tmp_path):
     latest = spark.read.parquet(dest)
     top = latest.agg(F.max("version")).first()[0]
     assert latest.filter(F.col("version") == top).count() == 10
+
+
+def test_hot_key_spanning_partitions_matches_loop(spark, spec):
+    from lapsewise.operators.ordering import previous_in_key
+
+    rnd = random.Random(3)
+    rows = [("hot" if rnd.random() < 0.6 else f"k{rnd.randrange(20)}", i, rnd.choice("ab")) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, seq long, v string")
+    got = {r.seq: r.prev for r in previous_in_key(df, "k", ["seq", "v"], "v", "prev", partitions=16).collect()}
+    last = {}
+    for k, s, v in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        assert got[s] == last.get(k), (k, s)
+        last[k] = v
