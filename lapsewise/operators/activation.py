@@ -192,7 +192,12 @@ def run_summary(log: DataFrame) -> DataFrame:
 
 def sync(batch: DataFrame, destination: DataFrame, spec: CampaignSpec, run_id: str,
          synced_at: datetime | None = None, batch_id: int = 0) -> SyncResult:
-    """One sync run: classify, log, next snapshot, summary."""
+    """One sync run: classify, log, next snapshot, summary.
+
+    The returned snapshot is lazy; materialise it (write it, or
+    ``checkpoint()``) before it becomes the next run's ``destination`` --
+    ``CampaignRun`` and the stream write one snapshot per run.
+    """
     if "seq" not in batch.columns:
         batch = batch.withColumn("seq", F.lit(0).cast("bigint"))
     c = classify(batch, destination, spec)

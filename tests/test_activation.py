@@ -96,7 +96,7 @@ def test_set_based_sync_equals_sequential_loop(spark, spec):
     df = spark.createDataFrame(rows, REC_SCHEMA)
     # a pre-existing destination for some keys
     first = A.sync(df.filter("seq < 100"), A.empty_destination(spark), spec, "r0")
-    dest0 = first.destination
+    dest0 = first.destination.checkpoint()
     res = A.sync(df.filter("seq >= 100"), dest0, spec, "r1")
     got = {r.seq: r.action for r in res.log.collect()}
     keyed = df.filter("seq >= 100").select("seq", A.idempotency_key().alias("k"), A.payload_hash().alias("h"),
@@ -116,22 +116,25 @@ def test_set_based_sync_equals_sequential_loop(spark, spec):
 def test_replay_is_all_unchanged_and_updates_keep_first_synced(spark, spec):
     df = spark.createDataFrame([rec(member=f"m{i}", seq=i) for i in range(20)], REC_SCHEMA)
     first = A.sync(df, A.empty_destination(spark), spec, "initial", synced_at=T0)
+    d1 = first.destination.checkpoint()  # each run's snapshot is materialised, as in a pipeline
     s1 = first.summary.first()
     assert (s1.attempted, s1.created, s1.unchanged) == (20, 20, 0)
-    replay = A.sync(df, first.destination, spec, "replay", synced_at=datetime(2026, 8, 2))
+    replay = A.sync(df, d1, spec, "replay", synced_at=datetime(2026, 8, 2))
+    d2 = replay.destination.checkpoint()
     s2 = replay.summary.first()
     assert (s2.created, s2.unchanged, s2.updated) == (0, 20, 0)
-    snap = {r.member_id: r for r in replay.destination.collect()}
+    snap = {r.member_id: r for r in d2.collect()}
     assert snap["m1"].last_synced_at == T0  # unchanged writes nothing
     changed = df.withColumn("activation_channel", F.when(F.col("member_id") == "m1", "push").otherwise(F.col("activation_channel")))
-    upd = A.sync(changed, replay.destination, spec, "change", synced_at=datetime(2026, 8, 3))
+    upd = A.sync(changed, d2, spec, "change", synced_at=datetime(2026, 8, 3))
     assert upd.summary.first().updated == 1
-    row = {r.member_id: r for r in upd.destination.collect()}["m1"]
+    d3 = upd.destination.checkpoint()
+    row = {r.member_id: r for r in d3.collect()}["m1"]
     assert row.activation_channel == "push" and row.first_synced_at == T0
     assert row.last_synced_at == datetime(2026, 8, 3)
     # a changed variant is a different key: a second membership, the old one kept
     other = df.filter("member_id = 'm2'").withColumn("variant", F.lit("personalized"))
-    s = A.sync(other, upd.destination, spec, "variant")
+    s = A.sync(other, d3, spec, "variant")
     assert s.summary.first().created == 1 and s.destination.count() == 21
 
 
