@@ -122,7 +122,7 @@ def category_distribution(audience: DataFrame) -> DataFrame:
     top = counts.agg(F.max("members"))
     return counts.select(
         "category", "members", F.round(F.col("members") / top.scalar(), 6).alias("share_of_largest")
-    )
+    ).orderBy(F.col("members").desc(), F.col("category"))  # O-3 on a category-sized table
 
 
 def eligibility_status_counts(m360: DataFrame) -> DataFrame:

@@ -197,3 +197,20 @@ def power_plan(results: DataFrame, spec: CampaignSpec) -> DataFrame:
         required.alias("required_members_per_arm"),
         "observed_members_per_arm",
     ).select("*", (F.col("observed_members_per_arm") >= F.col("required_members_per_arm")).alias("power_passes"))
+
+
+def arm_set_check(results: DataFrame, spec: CampaignSpec) -> DataFrame:
+    """U-1: observed arms must equal the declared arms (per experiment).
+
+    The reference raises an error; here each experiment gets its missing and
+    unexpected arms and a flag, so one bad experiment does not stop the rest.
+    The arm set per experiment is bounded by the arms present, never by members.
+    """
+    declared = F.array(*[F.lit(a) for a in spec.arms])
+    per_exp = results.groupBy("experiment_id").agg(F.array_sort(F.collect_set("variant")).alias("observed_arms"))
+    return per_exp.select(
+        "experiment_id",
+        "observed_arms",
+        F.array_sort(F.array_except(declared, F.col("observed_arms"))).alias("missing_arms"),
+        F.array_sort(F.array_except(F.col("observed_arms"), declared)).alias("unexpected_arms"),
+    ).select("*", ((F.size("missing_arms") == 0) & (F.size("unexpected_arms") == 0)).alias("arms_match"))

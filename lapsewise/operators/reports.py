@@ -39,7 +39,7 @@ def conversion_by_arm(results: DataFrame) -> DataFrame:
         "experiment_id", "variant", "assigned_members", "converted_members",
         (F.try_divide(F.col("converted_members").cast("double"), F.col("assigned_members")) * 100.0)
         .alias("conversion_rate_pct"),
-    )
+    ).orderBy("experiment_id", "variant")  # O-2 on an arm-sized table
 
 
 def headline(results: DataFrame, decision: DataFrame, quality: DataFrame) -> DataFrame:

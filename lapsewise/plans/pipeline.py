@@ -33,6 +33,12 @@ class CampaignRun:
             self._store = MartStore(self.spark)
         return self._store.write(df, name)
 
+    def _small(self, df: DataFrame) -> DataFrame:
+        """Experiment-sized tables derived from written marts: kept in memory.
+        Their lineage starts at a written mart, so recomputing a lost block
+        is cheap; writing them would cost more than it saves."""
+        return df.persist() if self.materialize else df
+
     # raw entities (a subclass may derive them instead) -----------------------
     @cached_property
     def members(self) -> DataFrame:
@@ -127,25 +133,25 @@ class CampaignRun:
     def comparisons(self) -> DataFrame:
         from ..operators import experiment as X
 
-        return X.comparisons(self.experiment_results, self.spec)
+        return self._small(X.comparisons(self.experiment_results, self.spec))
 
     @cached_property
     def covariate_balance(self) -> DataFrame:
         from ..operators import experiment as X
 
-        return X.covariate_balance(self.experiment_assignments, self.member_360, self.spec)
+        return self._small(X.covariate_balance(self.experiment_assignments, self.member_360, self.spec))
 
     @cached_property
     def srm(self) -> DataFrame:
         from ..operators import experiment as X
 
-        return X.sample_ratio_mismatch(self.experiment_results, self.spec)
+        return self._small(X.sample_ratio_mismatch(self.experiment_results, self.spec))
 
     @cached_property
     def power(self) -> DataFrame:
         from ..operators import experiment as X
 
-        return X.power_plan(self.experiment_results, self.spec)
+        return self._small(X.power_plan(self.experiment_results, self.spec))
 
     @cached_property
     def decision_inputs(self) -> DataFrame:
@@ -155,7 +161,7 @@ class CampaignRun:
 
         bal = X.balance_summary(self.covariate_balance, self.spec)
         inputs = D.decision_inputs(self.comparisons, self.srm, bal, self.power, quality_passed(self.quality_results))
-        return self._mart(inputs, "decision_inputs")
+        return self._small(inputs)
 
     @cached_property
     def decision(self) -> DataFrame:
@@ -174,7 +180,8 @@ class CampaignRun:
         from ..operators import decision as D
 
         best = D.best_variant(self.comparisons)
-        return best.join(self.decision.select("experiment_id", "rollout_ready", "recommendation"), "experiment_id")
+        verdict = self.decision.select("experiment_id", "rollout_ready", "recommendation")
+        return self._small(best.join(verdict, "experiment_id"))
 
     # activation ---------------------------------------------------------------
     @cached_property

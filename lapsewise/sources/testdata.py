@@ -189,10 +189,14 @@ class TestWarehouse(CampaignRun):
     exact because target touches are sent after the instant.
     """
 
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str, spec: CampaignSpec | None = None, materialize: bool = False):
         super().__init__(spark, spec or testdata_spec(), raw=None, materialize=materialize)
         self.sf_dir = sf_dir
 
+    # Raw entities stay lazy views over the supplied files: re-deriving them
+    # is cheaper than writing a staged copy (measured at sf0.1).
     @cached_property
     def events(self) -> DataFrame:
         return events_entity(self.spark, self.sf_dir)
@@ -225,9 +229,9 @@ class TestWarehouse(CampaignRun):
 
     @cached_property
     def campaign_touches(self) -> DataFrame:
-        return self.historical_touches.unionByName(
-            target_touches(self.experiment_assignments, self.eligible_audience, self.spec)
-        )
+        target = self._mart(target_touches(self.experiment_assignments, self.eligible_audience, self.spec),
+                            "raw_target_touches")
+        return self.historical_touches.unionByName(target)
 
     @property
     def feature_touches(self) -> DataFrame:
