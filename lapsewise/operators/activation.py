@@ -151,7 +151,17 @@ def classify(batch: DataFrame, destination: DataFrame, spec: CampaignSpec) -> Da
     )
 
 
-def next_snapshot(classified: DataFrame, destination: DataFrame, synced_at: datetime) -> DataFrame:
+def snapshot_changes(classified: DataFrame, destination: DataFrame, synced_at: datetime) -> DataFrame:
+    """Rows this batch created or updated, in destination form (a delta).
+
+    Cost is proportional to the batch: keys that were only ``unchanged`` or
+    failed validation produce nothing.
+    """
+    return next_snapshot(classified, destination, synced_at, changes_only=True)
+
+
+def next_snapshot(classified: DataFrame, destination: DataFrame, synced_at: datetime,
+                  changes_only: bool = False) -> DataFrame:
     """T-8: insert created keys, update 4 fields of updated keys, keep the rest."""
     touched = classified.filter(F.col("action").isin(CREATED[0], UPDATED[0], UNCHANGED[0]))
     last = F.struct("seq", "payload_hash")
@@ -177,7 +187,10 @@ def next_snapshot(classified: DataFrame, destination: DataFrame, synced_at: date
         "activation_channel", "preferred_category", "payload_hash",
         F.coalesce("_old_first_synced_at", at).alias("first_synced_at"),
         F.when(F.col("_written"), at).otherwise(F.col("_old_last_synced_at")).alias("last_synced_at"),
+        "_written",
     )
+    if changes_only:
+        return merged.filter(F.col("_written")).select(*DESTINATION.fieldNames())
     kept = destination.join(latest.select("idempotency_key"), "idempotency_key", "left_anti")
     return kept.select(*DESTINATION.fieldNames()).unionByName(merged.select(*DESTINATION.fieldNames()))
 

@@ -1,12 +1,15 @@
-"""Activation sync as a micro-batch stream (T-14).
-
-``writeStream.foreachBatch`` applies the set-based sync (T-5..T-9) to every
-micro-batch. Exactly-once effect under retries comes from versioning by
-epoch: batch ``N`` reads the newest destination snapshot with version < N,
-writes snapshot ``version=N`` and log partition ``batch_id=N`` with
-overwrite. A re-run of batch N (after a failure, or a redelivery) rewrites
-the same two directories, so it never duplicates memberships or log rows,
-and a redelivered record is classified ``unchanged``.
+"""Activation sync as a micro-batch stream (T-14), merge-on-read.
+
+``writeStream.foreachBatch`` applies the set-based sync (T-5..T-9) to each
+micro-batch. The destination is stored as versioned *changes*: batch ``N``
+writes only the memberships it created or updated, as ``version=N``, plus its
+log partition ``batch_id=N``, both with overwrite. The state before batch N
+is the newest row per key among versions < N. So a batch costs time
+proportional to its own size (plus a keyed lookup), not to the destination.
+A re-run of batch N rewrites the same two directories: no duplicate
+memberships or log rows, and redelivered records are ``unchanged``.
+``compact`` folds the versions up to N into one base version, bounding read
+cost; it is safe to repeat.
 """
 
 from __future__ import annotations
@@ -15,10 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.activation import empty_destination, sync
+from ..operators.activation import classify, empty_destination, run_summary, snapshot_changes
 from ..schemas import DESTINATION
 from ..spec import CampaignSpec
 
+VERSIONED = T.StructType(DESTINATION.fields + [T.StructField("version", T.LongType())])
+
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -26,26 +31,72 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def snapshot_before(spark: SparkSession, dest_root: str, version: int) -> DataFrame:
-    """The destination as of the newest committed version below ``version``."""
+def state_before(spark: SparkSession, dest_root: str, version: int, members: DataFrame | None = None) -> DataFrame:
+    """Destination as of all committed versions below ``version`` (newest row per key).
+
+    With ``members``, only those members' rows are read and aggregated
+    (semi-join before the aggregate), so a lookup costs as much as the batch.
+    """
     if not _path_exists(spark, dest_root):
         return empty_destination(spark)
-    schema = T.StructType(DESTINATION.fields + [T.StructField("version", T.LongType())])
-    all_versions = spark.read.schema(schema).parquet(dest_root)
-    older = all_versions.filter(F.col("version") < version)
-    newest = older.agg(F.max("version"))
-    return older.filter(F.col("version") == newest.scalar()).select(*DESTINATION.fieldNames())
+    rows = spark.read.schema(VERSIONED).parquet(dest_root).filter(F.col("version") < version)
+    if members is not None:
+        rows = rows.join(members, "member_id", "left_semi")
+    cols = DESTINATION.fieldNames()
+    latest = rows.groupBy("idempotency_key").agg(
+        F.max_by(F.struct(*[c for c in cols if c != "idempotency_key"]), F.col("version")).alias("r"))
+    return latest.select("idempotency_key", *[F.col(f"r.{c}").alias(c) for c in cols if c != "idempotency_key"])
+
+
+def current_state(spark: SparkSession, dest_root: str) -> DataFrame:
+    return state_before(spark, dest_root, 2**62)
 
 
 def sync_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, dest_root: str, log_root: str,
-               spec: CampaignSpec, run_prefix: str = "stream") -> None:
+               spec: CampaignSpec, run_prefix: str = "stream") -> DataFrame:
     if "seq" not in batch.columns:
         batch = batch.withColumn("seq", F.lit(0).cast("bigint"))
-    current = snapshot_before(spark, dest_root, epoch_id)
-    result = sync(batch, current, spec, run_id=f"{run_prefix}-{epoch_id}", batch_id=epoch_id)
-    # log first, then the snapshot: a snapshot version exists only when its log does
-    result.log.drop("batch_id").write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/batch_id={epoch_id}")
-    result.destination.write.mode("overwrite").parquet(f"{dest_root.rstrip('/')}/version={epoch_id}")
+    members = batch.select("member_id").filter(F.col("member_id").isNotNull()).distinct()
+    current = state_before(spark, dest_root, epoch_id, members)
+    c = classify(batch, current, spec)
+    log = c.select(F.lit(f"{run_prefix}-{epoch_id}").alias("run_id"), F.col("seq").cast("bigint").alias("seq"),
+                   "idempotency_key", "member_id", "action", "reason")
+    log.write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/batch_id={epoch_id}")
+    changes = snapshot_changes(c, current, spec.campaign_at)
+    changes.write.mode("overwrite").parquet(f"{dest_root.rstrip('/')}/version={epoch_id}")
+    return run_summary(log)
+
+
+def compact(spark: SparkSession, dest_root: str, upto: int) -> None:
+    """Rewrite ``version=upto`` as the full state up to it. Every key's newest
+    row is then at ``upto``, so older versions no longer change any read and
+    can be dropped (``drop_versions_below``). Repeating it is harmless."""
+    state = state_before(spark, dest_root, upto + 1)
+    tmp = f"{dest_root.rstrip('/')}/_compacting={upto}"
+    state.write.mode("overwrite").parquet(tmp)
+    spark.read.schema(DESTINATION).parquet(tmp).write.mode("overwrite").parquet(
+        f"{dest_root.rstrip('/')}/version={upto}")
+    _delete(spark, tmp)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_versions_below(spark: SparkSession, dest_root: str, version: int) -> int:
+    """Retention after ``compact``: delete version directories below ``version``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(dest_root)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    dropped = 0
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("version=") and int(name.split("=", 1)[1]) < version:
+            fs.delete(st.getPath(), True)
+            dropped += 1
+    return dropped
 
 
 def start_sync_stream(records: DataFrame, dest_root: str, log_root: str, checkpoint: str, spec: CampaignSpec,
