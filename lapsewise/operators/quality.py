@@ -51,14 +51,14 @@ class Tables:
     @cached_property
     def listings_members(self) -> DataFrame:
         return self["listings"].select("member_id", "created_at", "sold_at", F.lit(1).alias("_w")).join(
-            self._known().select("member_id", "_known"), "member_id", "left"
+            self._known(), "member_id", "left"
         )
 
     @cached_property
     def touches_members(self) -> DataFrame:
         # pre-aggregate: one row per member per map task crosses the shuffle
         per_member = self["campaign_touches"].groupBy("member_id").agg(F.count(F.lit(1)).alias("_w"))
-        return per_member.join(self._known().select("member_id", "_known"), "member_id", "left")
+        return per_member.join(self._known(), "member_id", "left")
 
     @cached_property
     def consent(self) -> DataFrame:
