@@ -24,6 +24,10 @@ class CampaignRun:
         self.materialize = materialize
         self._store = None
 
+    # marts keyed by member: bucketed alike so joins between them are co-located
+    MEMBER_KEYED = frozenset({"raw_members", "member_360", "eligible_audience", "experiment_assignments",
+                              "member_outcomes", "activation_records"})
+
     def _mart(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
@@ -31,7 +35,7 @@ class CampaignRun:
             from ..sources.marts import MartStore
 
             self._store = MartStore(self.spark)
-        return self._store.write(df, name)
+        return self._store.write(df, name, bucket_by="member_id" if name in self.MEMBER_KEYED else None)
 
     def _small(self, df: DataFrame) -> DataFrame:
         """Experiment-sized tables derived from written marts: kept in memory.

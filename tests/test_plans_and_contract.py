@@ -44,3 +44,19 @@ def test_member_360_reads_each_source_once_with_pruning(spark):
     # events feed the feature aggregate and the consent snapshot: two scans, each pruned
     assert plan.count("events.parquet") <= 2
     assert "SinglePartition" not in plan
+
+
+def test_member_keyed_marts_join_without_shuffle(spark):
+    from lapsewise.operators import experiment as X
+    from lapsewise.operators.activation import activation_records
+
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the at-scale join shape
+    try:
+        w = Q.TestWarehouse(spark, SF_SMALL, materialize=True)
+        for df in (X.covariate_stats(w.experiment_assignments, w.member_360, w.spec),
+                   activation_records(w.eligible_audience, w.experiment_assignments, w.member_360, w.spec)):
+            plan = _plan(df)
+            assert "hashpartitioning(member_id" not in plan and "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
