@@ -46,3 +46,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="lapsewise-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
+
+
+# Target bytes per task: large enough to amortise task overhead, small
+# enough that a sort/aggregate partition fits executor memory without spill.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, executor_cores_total: int,
+                 target_partition_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Settings sized for a run over ``input_bytes`` on ``executor_cores_total`` cores.
+
+    Shuffle partitions scale with the data (at least 2 waves of tasks) and
+    AQE coalesces small ones and splits skewed ones at run time; input splits
+    match the target partition size. For 100 TB on 1,000 executors x 8 cores
+    this gives ~400k shuffle partitions, i.e. ~50 waves of 256 MB tasks.
+    """
+    by_size = -(-input_bytes // target_partition_bytes)
+    partitions = max(2 * executor_cores_total, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the input files (metadata only, read on the driver)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
