@@ -27,12 +27,17 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 
+MAX_BUCKETS = 4096
+
+
 class MartStore:
     def __init__(self, spark: SparkSession, run_id: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapsewise-marts/{self.run_id}"
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # bucket count follows the session's parallelism, capped: marts are
+        # member-sized (not input-sized), so ~4k buckets keep files large
+        self.buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
