@@ -25,6 +25,7 @@ from ..functions.columns import ts
 from ..schemas import CONSENT_STATUSES, EVENT_NAMES, SUBSCRIBED
 from ..spec import CampaignSpec
 from .consent import latest_consent
+from .skew import skew_safe_join
 
 
 class Tables:
@@ -42,17 +43,17 @@ class Tables:
     def _known(self) -> DataFrame:
         return self["members"].select("member_id", "joined_at", F.lit(True).alias("_known"))
 
+    # raw event/listing rows meet members through a skew-safe join: a member
+    # with a huge share of rows is joined against a broadcast slice in place
     @cached_property
     def events_members(self) -> DataFrame:
-        return self["events"].select("member_id", "event_name", "event_ts", F.lit(1).alias("_w")).join(
-            self._known(), "member_id", "left"
-        )
+        ev = self["events"].select("member_id", "event_name", "event_ts", F.lit(1).alias("_w"))
+        return skew_safe_join(ev, self._known(), "member_id", "left")
 
     @cached_property
     def listings_members(self) -> DataFrame:
-        return self["listings"].select("member_id", "created_at", "sold_at", F.lit(1).alias("_w")).join(
-            self._known(), "member_id", "left"
-        )
+        li = self["listings"].select("member_id", "created_at", "sold_at", F.lit(1).alias("_w"))
+        return skew_safe_join(li, self._known(), "member_id", "left")
 
     @cached_property
     def touches_members(self) -> DataFrame:

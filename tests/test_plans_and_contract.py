@@ -60,3 +60,21 @@ def test_member_keyed_marts_join_without_shuffle(spark):
             assert "hashpartitioning(member_id" not in plan and "Bucketed: true" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_skew_safe_join_equals_plain_join_with_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from lapsewise.operators.skew import hot_keys, skew_safe_join
+
+    big = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("k"),
+        F.col("id"))
+    big = big.unionByName(spark.createDataFrame([(None, -1)], "k string, id long"))
+    dim = spark.range(400).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("v")).unionByName(
+        spark.createDataFrame([("hot", 7)], "k string, v long"))
+    assert [r.k for r in hot_keys(big, "k", 100).collect()] == ["hot"]
+    for how in ("inner", "left"):
+        a = sorted((tuple(r) for r in skew_safe_join(big, dim, "k", how, max_hot=100).collect()), key=repr)
+        b = sorted((tuple(r) for r in big.join(dim, "k", how).collect()), key=repr)
+        assert a == b
