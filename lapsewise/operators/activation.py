@@ -13,6 +13,7 @@ are keyed by the idempotency key, so no task sees more than its keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -204,16 +205,21 @@ def run_summary(log: DataFrame) -> DataFrame:
 
 
 def sync(batch: DataFrame, destination: DataFrame, spec: CampaignSpec, run_id: str,
-         synced_at: datetime | None = None, batch_id: int = 0) -> SyncResult:
+         synced_at: datetime | None = None, batch_id: int = 0,
+         stage: Callable[[DataFrame], DataFrame] | None = None) -> SyncResult:
     """One sync run: classify, log, next snapshot, summary.
 
-    The returned snapshot is lazy; materialise it (write it, or
+    ``stage`` materialises the classified batch once (e.g. writes it) so the
+    log and the snapshot are both derived from it instead of classifying
+    twice. The returned snapshot is lazy; materialise it (write it, or
     ``checkpoint()``) before it becomes the next run's ``destination`` --
-    ``CampaignRun`` and the stream write one snapshot per run.
+    ``CampaignRun`` and the stream write one snapshot (or change set) per run.
     """
     if "seq" not in batch.columns:
         batch = batch.withColumn("seq", F.lit(0).cast("bigint"))
     c = classify(batch, destination, spec)
+    if stage is not None:
+        c = stage(c)
     log = c.select(
         F.lit(run_id).alias("run_id"), F.lit(batch_id).cast("bigint").alias("batch_id"),
         F.col("seq").cast("bigint").alias("seq"), "idempotency_key", "member_id", "action", "reason",

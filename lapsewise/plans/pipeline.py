@@ -198,7 +198,8 @@ class CampaignRun:
     def _sync(self, destination: DataFrame, run_id: str, tag: str):
         from ..operators.activation import sync
 
-        r = sync(self.activation_records, destination, self.spec, run_id)
+        r = sync(self.activation_records, destination, self.spec, run_id,
+                 stage=lambda c: self._mart(c, f"sync_classified_{tag}"))
         return self._mart(r.log, f"sync_log_{tag}"), self._mart(r.destination, f"destination_{tag}")
 
     @cached_property

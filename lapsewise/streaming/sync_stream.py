@@ -58,13 +58,15 @@ def sync_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, dest_root:
         batch = batch.withColumn("seq", F.lit(0).cast("bigint"))
     members = batch.select("member_id").filter(F.col("member_id").isNotNull()).distinct()
     current = state_before(spark, dest_root, epoch_id, members)
-    c = classify(batch, current, spec)
+    # classified once per micro-batch; the log and the change set both read it
+    c = classify(batch, current, spec).persist()
     log = c.select(F.lit(f"{run_prefix}-{epoch_id}").alias("run_id"), F.col("seq").cast("bigint").alias("seq"),
                    "idempotency_key", "member_id", "action", "reason")
     log.write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/batch_id={epoch_id}")
     changes = snapshot_changes(c, current, spec.campaign_at)
     changes.write.mode("overwrite").parquet(f"{dest_root.rstrip('/')}/version={epoch_id}")
-    return run_summary(log)
+    c.unpersist()
+    return run_summary(spark.read.parquet(f"{log_root.rstrip('/')}/batch_id={epoch_id}"))
 
 
 def compact(spark: SparkSession, dest_root: str, upto: int) -> None:
