@@ -100,7 +100,7 @@ def tracking_plan_violations(events: DataFrame, as_of: datetime, taxonomy: tuple
     Checks: every required property is non-NULL; governed categories come
     from ``taxonomy``; session events are not in the future. With
     ``listings`` given, ``listing_created.source`` must name a listing
-    (pre-aggregated per source before the anti-join).
+    (a keyed aggregate over both sides, no join).
     """
     checks: list[tuple[str, str, Column]] = []
     for name, props in TRACKING_PLAN.items():
@@ -117,9 +117,13 @@ def tracking_plan_violations(events: DataFrame, as_of: datetime, taxonomy: tuple
                                F.col(f"c{i}").alias("violations")) for i, (n, k, _) in enumerate(checks)])
     out = agg.select(F.inline(stack))
     if listings is not None:
-        src = events.filter((F.col("event_name") == "listing_created") & F.col("source").isNotNull()).groupBy(
-            "source").agg(F.count(F.lit(1)).alias("n"))
-        orphan = src.join(listings.select(F.col("listing_id").alias("source")), "source", "left_anti")
+        # anti-join as one keyed aggregate over the union of both sides: no
+        # join operator, so no broadcast even if a side is constant-folded
+        src = events.filter((F.col("event_name") == "listing_created") & F.col("source").isNotNull()).select(
+            F.col("source").alias("_k"), F.lit(1).alias("n"), F.lit(False).alias("is_listing"))
+        ids = listings.select(F.col("listing_id").alias("_k"), F.lit(0).alias("n"), F.lit(True).alias("is_listing"))
+        per_key = src.unionByName(ids).groupBy("_k").agg(F.sum("n").alias("n"), F.max("is_listing").alias("known"))
+        orphan = per_key.filter(~F.col("known"))
         out = out.unionByName(orphan.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
             F.lit("listing_created").alias("event_name"), F.lit("source_resolves_to_listing").alias("check_name"),
             "violations"))

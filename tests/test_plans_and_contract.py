@@ -78,3 +78,17 @@ def test_skew_safe_join_equals_plain_join_with_a_hot_key(spark):
         a = sorted((tuple(r) for r in skew_safe_join(big, dim, "k", how, max_hot=100).collect()), key=repr)
         b = sorted((tuple(r) for r in big.join(dim, "k", how).collect()), key=repr)
         assert a == b
+
+
+def test_no_registered_query_plans_a_cartesian_or_nested_loop_join(spark):
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bad = []
+        for name, fn in entry.queries().items():
+            plan = _plan(fn(spark, SF_SMALL))
+            if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+                bad.append(name)
+        assert bad == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
