@@ -56,8 +56,15 @@ def destination_reject_alert(log: DataFrame, limit: float = DESTINATION_REJECT_L
     return g.select("*", rate.alias("reject_rate"), F.coalesce(rate > limit, F.lit(False)).alias("alert"))
 
 
-def cumulative_unsubscribe(touches: DataFrame, spec: CampaignSpec, limit: float = CUMULATIVE_UNSUBSCRIBE_LIMIT,
-                           bucket: str = "hour") -> DataFrame:
+def hour_bucket(c: str) -> Column:
+    """Start of the hour of a timestamp_ntz, independent of the session time zone
+    (``date_trunc`` would go through the session zone and return a zoned type)."""
+    col = F.col(c)
+    return F.make_timestamp_ntz(F.year(col), F.month(col), F.dayofmonth(col), F.hour(col), F.lit(0), F.lit(0))
+
+
+def cumulative_unsubscribe(touches: DataFrame, spec: CampaignSpec,
+                           limit: float = CUMULATIVE_UNSUBSCRIBE_LIMIT) -> DataFrame:
     """N-3: cumulative unsubscribe rate of the campaign's sends, per time bucket.
 
     Sends and unsubscribes are counted per (campaign, bucket) first; the
@@ -65,10 +72,10 @@ def cumulative_unsubscribe(touches: DataFrame, spec: CampaignSpec, limit: float
     duration, partitioned by campaign), never over the sends themselves.
     """
     t = touches.filter(F.col("campaign_id") == spec.campaign_id)
-    sends = t.groupBy("campaign_id", F.date_trunc(bucket, "sent_at").alias("bucket")).agg(
+    sends = t.groupBy("campaign_id", hour_bucket("sent_at").alias("bucket")).agg(
         F.count(F.lit(1)).alias("sent"))
     unsubs = t.filter(F.col("unsubscribed_at").isNotNull()).groupBy(
-        "campaign_id", F.date_trunc(bucket, "unsubscribed_at").alias("bucket")).agg(
+        "campaign_id", hour_bucket("unsubscribed_at").alias("bucket")).agg(
         F.count(F.lit(1)).alias("unsubscribed"))
     b = sends.join(unsubs, ["campaign_id", "bucket"], "full").select(
         "campaign_id", "bucket", F.coalesce("sent", F.lit(0)).alias("sent"),
