@@ -34,7 +34,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only if none is set."""
+    """Return the shared checkpoint folder; create a scratch one only if none is
+    set and the session is local (tests, local runs)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -43,6 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        # a machine-local folder is wrong on a cluster: executors would each
+        # write to their own disk. The cluster must name a shared folder.
+        raise RuntimeError("spark.checkpoint.dir is not set; set it to a folder shared by all executors")
     scratch = tempfile.mkdtemp(prefix="lapsewise-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
