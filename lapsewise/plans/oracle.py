@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from ..operators.audience import ELIGIBILITY_RULES, FIRST_STAGE
-from ..schemas import CONSENT_STATUSES, EVENT_NAMES
 from ..sources import testdata as td
 from ..spec import CampaignSpec, testdata_spec
 

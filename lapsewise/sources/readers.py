@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import RAW_TABLES, TOLERANT_TIMESTAMPS, required_columns
+from ..schemas import RAW_TABLES, required_columns
 
 
 @dataclass
@@ -58,8 +58,8 @@ def stage(df: DataFrame, table: str) -> Staged:
     rejects = with_reason.filter(F.col("reject_reason") != "").select(
         *[F.col(f"_raw_{c}").cast("string").alias(c) for c in schema.fieldNames()], "reject_reason"
     )
-    # tolerant columns were already try_cast: bad text is NULL, never a reject
-    _ = TOLERANT_TIMESTAMPS
+    # optional columns (e.g. TOLERANT_TIMESTAMPS) were try_cast too: bad text
+    # becomes NULL there, never a reject
     return Staged(valid=valid, rejects=rejects)
 
 
