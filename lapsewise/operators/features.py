@@ -89,8 +89,14 @@ def member_360(
     touches: DataFrame,
     exclusions: DataFrame,
     spec: CampaignSpec,
+    event_rollup: DataFrame | None = None,
 ) -> DataFrame:
-    """M-1..M-4: one row per member with features, six rule flags, status."""
+    """M-1..M-4: one row per member with features, six rule flags, status.
+
+    With ``event_rollup`` (see ``rollup.py``) the event features are read
+    from the hourly rollup plus the raw edge hours instead of all events.
+    """
+    from .rollup import event_features_from_rollup
     from .audience import eligibility_columns
 
     zero = F.lit(0).cast("bigint")
@@ -100,7 +106,8 @@ def member_360(
             "email_consent", "push_consent", "is_suppressed",
         )
         .join(listing_features(listings, spec), "member_id", "left")
-        .join(event_features(events, spec), "member_id", "left")
+        .join(event_features(events, spec) if event_rollup is None
+              else event_features_from_rollup(event_rollup, events, spec), "member_id", "left")
         .join(contact_features(touches, spec), "member_id", "left")
         .join(exclusion_features(exclusions, spec), "member_id", "left")
     )

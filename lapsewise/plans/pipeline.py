@@ -19,9 +19,10 @@ from ..spec import CampaignSpec
 
 class CampaignRun:
     def __init__(self, spark: SparkSession, spec: CampaignSpec, raw: dict[str, DataFrame] | None = None,
-                 materialize: bool = False):
+                 materialize: bool = False, event_rollup: DataFrame | None = None):
         self.spark, self.spec, self._raw = spark, spec, raw or {}
         self.materialize = materialize
+        self.event_rollup = event_rollup  # hourly rollup (rollup.py); None -> read raw events
         self._store = None
 
     # marts keyed by member: bucketed alike so joins between them are co-located
@@ -92,7 +93,7 @@ class CampaignRun:
 
         return self._mart(
             member_360(self.members, self.listings, self.events, self.feature_touches,
-                       self.campaign_exclusions, self.spec),
+                       self.campaign_exclusions, self.spec, event_rollup=self.event_rollup),
             "member_360",
         )
 
