@@ -29,14 +29,18 @@ class CampaignRun:
     MEMBER_KEYED = frozenset({"raw_members", "member_360", "eligible_audience", "experiment_assignments",
                               "member_outcomes", "activation_records"})
 
-    def _mart(self, df: DataFrame, name: str) -> DataFrame:
-        if not self.materialize:
-            return df
+    @property
+    def store(self):
         if self._store is None:
             from ..sources.marts import MartStore
 
             self._store = MartStore(self.spark)
-        return self._store.write(df, name, bucket_by="member_id" if name in self.MEMBER_KEYED else None)
+        return self._store
+
+    def _mart(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        return self.store.write(df, name, bucket_by="member_id" if name in self.MEMBER_KEYED else None)
 
     def _small(self, df: DataFrame) -> DataFrame:
         """Experiment-sized tables derived from written marts: kept in memory.
