@@ -24,9 +24,10 @@ MAX_HOT_KEYS = 1024
 
 def hot_keys(big: DataFrame, key: str, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
     """Keys with more than 1/``max_hot`` of ``big``'s rows (at most ``max_hot``)."""
-    per_key = big.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = big.agg(F.count(F.lit(1)))
-    return per_key.filter(F.col("_n") * max_hot > total.scalar()).select(key)
+    per_key = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    # the total is summed from the per-key counts: no second scan of `big`
+    total = per_key.agg(F.sum("_n"))
+    return per_key.filter(F.col(key).isNotNull() & (F.col("_n") * max_hot > total.scalar())).select(key)
 
 
 def skew_safe_join(big: DataFrame, dim: DataFrame, key: str, how: str = "inner",
