@@ -28,6 +28,7 @@ from ..session import ensure_checkpoint_dir
 
 
 MAX_BUCKETS = 4096
+TARGET_BUCKET_BYTES = 64 * 1024 * 1024
 
 
 class MartStore:
@@ -35,9 +36,9 @@ class MartStore:
         self.spark = spark
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapsewise-marts/{self.run_id}"
-        # bucket count follows the session's parallelism, capped: marts are
-        # member-sized (not input-sized), so ~4k buckets keep files large
-        self.buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+        # one bucket count per run (co-location needs the same count for every
+        # member-keyed mart); fixed at the first bucketed write, see _bucket_count
+        self.buckets = buckets
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -45,12 +46,26 @@ class MartStore:
     def table_name(self, name: str) -> str:
         return re.sub(r"[^a-z0-9_]", "_", f"lapsewise_{self.run_id}_{name}".lower())
 
+    def _bucket_count(self, df: DataFrame) -> int:
+        """~64 MB per bucket from the optimizer's size estimate of the first
+        member-keyed mart (all of them are member-sized), capped by the
+        session's shuffle partitions and MAX_BUCKETS."""
+        if self.buckets is None:
+            try:
+                est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+            except Exception:  # noqa: BLE001 -- no estimate: use the session's parallelism
+                est = 1 << 62
+            cap = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+            self.buckets = max(1, min(cap, -(-est // TARGET_BUCKET_BYTES)))
+        return self.buckets
+
     def write(self, df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
         if bucket_by is not None:
+            n = self._bucket_count(df)
             try:
                 table = self.table_name(name)
-                (df.repartition(self.buckets, bucket_by).write.mode("overwrite")
-                 .bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
+                (df.repartition(n, bucket_by).write.mode("overwrite")
+                 .bucketBy(n, bucket_by).sortBy(bucket_by)
                  .option("path", self.path(name)).saveAsTable(table))
                 return self.spark.table(table)
             except Exception:  # noqa: BLE001 -- catalog without table support: plain files
