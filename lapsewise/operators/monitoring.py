@@ -143,13 +143,9 @@ def write_incremental(df: DataFrame, path: str, time_col: str, date_col: str = "
     Dynamic partition overwrite replaces the touched date partitions and keeps
     every other date, so a late batch or a retry never rewrites history.
     """
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.withColumn(date_col, F.to_date(time_col)).write.mode("overwrite").partitionBy(date_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    # per-write option: no session-wide setting is changed
+    (df.withColumn(date_col, F.to_date(time_col)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
 
 
 def send_time_recheck(records: DataFrame, m360_at_send: DataFrame, spec: CampaignSpec) -> DataFrame:
