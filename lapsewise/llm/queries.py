@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_store
+from . import exact_dedup, packing, token_store
 from .common import Scratch, documents
 
 
@@ -28,12 +28,30 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path)
 
 
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the row that stays of its group of equal texts."""
+    return exact_dedup.duplicate_groups(documents(spark, sf_dir))
+
+
+OP9_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY text)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_token_store": op2_token_store,
+        "op9_exact_dedup": op9_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_exact_dedup": OP9_SQL,
+    }
