@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, token_store
+from . import exact_dedup, packing, suffix_dedup, token_store
 from .common import Scratch, documents
 
 
@@ -33,6 +33,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what remains when repeated 200-byte strings go."""
+    return suffix_dedup.removal_report(documents(spark, sf_dir))
+
+
 OP9_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
@@ -48,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_token_store": op2_token_store,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
