@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, suffix_dedup, token_store
+from . import exact_dedup, packing, simhash, suffix_dedup, token_store
 from .common import Scratch, documents
 
 
@@ -38,6 +38,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(documents(spark, sf_dir))
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its SimHash fingerprint and near-duplicate component."""
+    return simhash.near_duplicate_groups(documents(spark, sf_dir))
+
+
 OP9_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
@@ -52,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_token_store": op2_token_store,
+        "op5_simhash_near_dedup": op5_simhash_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_suffix_dedup": op10_suffix_dedup,
     }
