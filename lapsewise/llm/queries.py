@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, simhash, suffix_dedup, token_store
+from . import bpe, exact_dedup, packing, simhash, suffix_dedup, token_store
 from .common import Scratch, documents
 
 
@@ -43,6 +43,11 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(documents(spark, sf_dir))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through batched BPE encoding and decoding."""
+    return bpe.encode_and_decode(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
 OP9_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_token_store": op2_token_store,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
+        "op7_bpe": op7_bpe,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_suffix_dedup": op10_suffix_dedup,
     }
