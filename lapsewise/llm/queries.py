@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, simhash, suffix_dedup, token_store
+from . import ann, bpe, exact_dedup, packing, simhash, suffix_dedup, token_store
 from .common import Scratch, documents
 
 
@@ -48,6 +48,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found of every 100th embedding among all."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").selectExpr("cast(vec_id as long) id", "embedding vector")
+    return ann.nearest(vectors, vectors.where("id % 100 = 0"))
+
+
 OP9_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
@@ -62,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
         "op2_token_store": op2_token_store,
+        "op3_ann": op3_ann,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
         "op7_bpe": op7_bpe,
         "op9_exact_dedup": op9_exact_dedup,
