@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, exact_dedup, packing, simhash, suffix_dedup, token_store
+from . import ann, bpe, exact_dedup, langid, packing, quality, simhash, suffix_dedup, token_store, toxicity
 from .common import Scratch, documents
 
 
@@ -54,6 +54,24 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("id % 100 = 0"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its pairwise-ranking quality score."""
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.scores(docs, quality.train(docs, labels))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its expected severity and whether it is toxic."""
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.severities(docs, toxicity.train(docs, labels))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its language by a byte convolutional network."""
+    docs = documents(spark, sf_dir)
+    return langid.languages(docs, langid.train(docs))
+
+
 OP9_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
@@ -69,8 +87,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_token_store": op2_token_store,
         "op3_ann": op3_ann,
+        "op4_quality": op4_quality,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
+        "op6_toxicity": op6_toxicity,
         "op7_bpe": op7_bpe,
+        "op8_language_id": op8_language_id,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_suffix_dedup": op10_suffix_dedup,
     }
