@@ -127,6 +127,8 @@ class NumpyBpe:
 
     def _parts(self, word: str) -> list[str]:
         """Special tokens as they are, else the normalised pieces that are merged apart."""
+        if word.isascii() and word.isalpha():
+            return [word.lower()]
         parts: list[str] = []
         for k, piece in enumerate(self.at_special.split(word)):
             if k % 2:
