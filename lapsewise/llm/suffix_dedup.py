@@ -20,7 +20,11 @@ bucket has no other member or only members that agree on all that matters.
   buckets of its first and last window: members that agree have all windows in
   common, and those windows are repeated.
 * Only where members of a q-gram bucket disagree, one member for each different
-  surrounding has its windows sorted one by one, by two independent names.
+  surrounding has its windows sorted one by one, by two independent names. A
+  bucket with up to ``CLASS`` different surroundings does so inside one task,
+  to which the bytes of the surroundings go; the windows of a larger one are
+  counted by a grouping over all tasks, whose partial counts absorb a passage
+  that a third of all documents share.
 
 Joins on hot buckets are between written tables, so that adaptive execution can
 split them; groupings combine map-side. Rows are told apart by ``doc_id`` and a
@@ -44,6 +48,7 @@ from .chunk_ids import text_slices
 from .common import Scratch
 
 SPAN = 200
+CLASS = 8192  # different surroundings of a q-gram that one task holds
 _POSITION = 30  # bits of a position inside one buffer
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, one a family of names
 _KEY = "doc_id long, text_hash long"
@@ -134,7 +139,95 @@ def _same_document(a: DataFrame, b: DataFrame):
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
 
 
-def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
+def _surroundings(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
+    """Rows (wide, gram, doc_id, text_hash, at, bytes) of (doc_id, text_hash, text,
+    anchors): the bytes of all windows of each anchor. Of ``at``, 2 bits are the
+    weight (2: the surrounding occurs elsewhere), 16 the number of further windows."""
+    names = ["wide", "gram", "doc_id", "text_hash", "at", "bytes"]
+    types = [pa.bool_(), *[pa.int64()] * 4, pa.binary()]
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    for batch in batches:
+        rows = []
+        for doc_id, text_hash, text, own in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            data = text.encode()
+            for a in own:
+                low, more = a["at"] >> 18, a["at"] >> 2 & 0xFFFF
+                rows.append((a["wide"], a["gram"], doc_id, text_hash, a["at"], data[low : low + more + span]))
+            if len(rows) > 20_000:
+                yield out(rows)
+                rows = []
+        if rows:
+            yield out(rows)
+
+
+def _window_names(batch: pa.RecordBatch, span: int) -> tuple[np.ndarray, ...]:
+    """Of rows (gram, doc_id, text_hash, at, bytes), for every window: its names in
+    both families, its row, its first byte in the text."""
+    at, parts = np.array(batch.column(3)), batch.column(4).to_pylist()
+    q, low, more = span // 4, at >> 18, at >> 2 & 0xFFFF
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    row = np.repeat(np.arange(len(at)), more + 1)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+    begins = np.cumsum(more + span) - more - span
+    names = [span_names(gram_names(data, q, family), begins[row] + inside, q) for family in (0, 1)]
+    return *names, row, low[row] + inside
+
+
+def _repeated_inside(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
+    """Spans (doc_id, text_hash, span) of rows (gram, doc_id, text_hash, at, bytes)
+    sorted by gram: whole buckets are compared in memory."""
+
+    def spans(rows: pa.RecordBatch) -> pa.RecordBatch:
+        first, second, row, start = _window_names(rows, span)
+        weight = np.array(rows.column(3))[row] & 3
+        order = np.lexsort((second, first))
+        new = np.r_[True, (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)]
+        total = np.add.reduceat(weight[order], np.flatnonzero(new))
+        found = np.zeros(len(row), bool)
+        found[order] = total[np.cumsum(new) - 1] > 1
+        found &= weight == 1
+        row, start = row[found], start[found]
+        begin = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(start, prepend=-9) != 1))
+        end = np.append(begin[1:], len(row)) - 1
+        packed = start[begin] << 32 | start[end] + span if len(row) else np.zeros(0, np.int64)
+        at = pa.array(row[begin] if len(row) else np.zeros(0, np.int64))
+        return pa.RecordBatch.from_arrays([rows.column(1).take(at), rows.column(2).take(at), pa.array(packed)], ["doc_id", "text_hash", "span"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        gram = np.array(batch.column(0))
+        changes = np.flatnonzero(np.diff(gram)) + 1
+        if held and len(gram) and held[-1].column(0)[-1].as_py() != gram[0]:
+            changes = np.append(0, changes)
+        if len(changes):
+            cut = int(changes[-1])
+            whole = pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks().to_batches()
+            for some in whole:
+                yield spans(some)
+            held = [batch.slice(cut)]
+        elif batch.num_rows:
+            held.append(batch)
+    if held:
+        for some in pa.Table.from_batches(held).combine_chunks().to_batches():
+            yield spans(some)
+
+
+def _each_window(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
+    names = ["first_name", "second_name", "weight", "doc_id", "text_hash", "start"]
+    for batch in batches:
+        for k in range(0, batch.num_rows, 2000):
+            rows = batch.slice(k, 2000)
+            first, second, row, start = _window_names(rows, span)
+            key = [rows.column(c).take(pa.array(row)) for c in (1, 2)]
+            weight = np.array(rows.column(3))[row] & 3
+            arrays = [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(weight), *key, pa.array(start)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+
+def repeated_spans(docs: DataFrame, span: int = SPAN, class_size: int = CLASS) -> DataFrame:
     """doc_id, text_hash and ``spans``: first byte << 32 | end, unordered and
     overlapping, of all repeated strings of a document that has any."""
     if span < 8 or span % 4:
@@ -166,25 +259,19 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "at")).alias("one")
     )
     groups = scratch.write(groups, "groups")
-    mixed = scratch.write(groups.groupBy("gram").count().where("count > 1").select("gram"), "mixed")
-    apart = groups.join(mixed, "gram").select("one.doc_id", "one.text_hash", F.expr("one.at * 4 + least(n, 2)").alias("at"))
-    apart = apart.groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias("at"))
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["first_name", "second_name", "weight", "doc_id", "text_hash", "start"]
-        for batch in batches:
-            for k, (text, at) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                data = np.frombuffer(text.encode(), np.uint8)
-                at = np.array(at, np.int64)
-                weight, low, more = at & 3, at >> 18, at >> 2 & 0xFFFF
-                start = np.concatenate([np.arange(a, a + m + 1) for a, m in zip(low, more)])
-                named = [span_names(gram_names(data, q, family), start, q).view(np.int64) for family in (0, 1)]
-                key = [pa.array([batch.column(c)[k].as_py()] * len(start), pa.int64()) for c in (0, 1)]
-                arrays = [*map(pa.array, named), pa.array(np.repeat(weight, more + 1)), *key, pa.array(start)]
-                yield pa.RecordBatch.from_arrays(arrays, names)
-
-    texts_apart = texts.join(apart, _same_document(texts, apart)).select(texts["doc_id"], texts["text_hash"], "text", "at")
-    each = texts_apart.mapInArrow(windows, f"first_name long, second_name long, weight long, {_KEY}, start long")
+    mixed = groups.groupBy("gram").count().where("count > 1").select("gram", F.expr(f"count > {class_size}").alias("wide"))
+    mixed = scratch.write(mixed, "mixed")
+    place = F.expr("one.at * 4 + least(n, 2)").alias("at")
+    apart = groups.join(mixed, "gram").select("one.doc_id", "one.text_hash", F.struct("wide", "gram", place).alias("anchor"))
+    apart = apart.groupBy("doc_id", "text_hash").agg(F.collect_list("anchor").alias("anchors"))
+    texts_apart = texts.join(apart, _same_document(texts, apart)).select(texts["doc_id"], texts["text_hash"], "text", "anchors")
+    around = texts_apart.mapInArrow(lambda b: _surroundings(b, span), f"wide boolean, gram long, {_KEY}, at long, bytes binary")
+    around = scratch.write(around, "surroundings")
+
+    inside = around.where("NOT wide").drop("wide").repartition("gram").sortWithinPartitions("gram")
+    inside = inside.mapInArrow(lambda b: _repeated_inside(b, span), f"{_KEY}, span long")
+
+    each = around.where("wide").drop("wide").mapInArrow(lambda b: _each_window(b, span), f"first_name long, second_name long, weight long, {_KEY}, start long")
     each = scratch.write(each, "windows")
     twice = each.groupBy("first_name", "second_name").agg(F.sum("weight").alias("n")).where("n > 1").select("first_name", "second_name")
     twice = scratch.write(twice, "twice")
@@ -194,7 +281,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     agreeing = agreeing.selectExpr("doc_id", "text_hash", f"{packed} + {span} AS span")
     single = each.where("weight = 1").join(twice, ["first_name", "second_name"])
     single = single.selectExpr("doc_id", "text_hash", f"shiftleft(start, 32) + start + {span} AS span")
-    return agreeing.unionByName(single).groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("spans"))
+    return agreeing.unionByName(inside).unionByName(single).groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("spans"))
 
 
 def merged(spans: list[int] | None) -> list[tuple[int, int]]:
@@ -217,10 +304,10 @@ def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
-def removal_report(docs: DataFrame, span: int = SPAN) -> DataFrame:
+def removal_report(docs: DataFrame, span: int = SPAN, class_size: int = CLASS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans and the
     SHA-256 of the bytes that remain."""
-    texts, spans = _keyed(docs), repeated_spans(docs, span)
+    texts, spans = _keyed(docs), repeated_spans(docs, span, class_size)
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -27,8 +27,8 @@ def noise(rng, n):
     return "".join(rng.choices("abcdé ", k=n))
 
 
-@pytest.mark.parametrize("span", [8, 40, 200])
-def test_equals_brute_force(spark, span):
+@pytest.mark.parametrize("span, class_size", [(8, 8192), (40, 3), (200, 8192), (200, 2)])
+def test_equals_brute_force(spark, span, class_size):
     rng = random.Random(span)
     shared = [noise(rng, n) for n in (span - 1, span, span + 1, 2 * span, 5 * span)]
     texts = [(0, None), (1, ""), (2, "a" * 3 * span), (None, shared[4]), (3, "x" * (span - 1)), (4, shared[1]), (5, shared[1])]
@@ -41,7 +41,7 @@ def test_equals_brute_force(spark, span):
             parts.append(passage if rng.random() < 0.5 else passage[a:] if rng.random() < 0.5 else passage[:a])
         texts.append((10 + k, "".join(parts)))
     texts += [(11, texts[-2][1]), (90, texts[-3][1]), (91, texts[-3][1] + "z"), (92, texts[-3][1]), (92, texts[-3][1])]
-    got = removal_report(frame(spark, texts).repartition(4), span).collect()
+    got = removal_report(frame(spark, texts).repartition(4), span, class_size).collect()
     assert sorted(map(tuple, got), key=repr) == brute(texts, span)
 
 
