@@ -4,7 +4,7 @@ run summary and reconciliation -- set-based.
 The reference upserts row by row. Here a whole batch is classified in one
 pass with the same sequential meaning: for a valid row, the destination's
 hash "just before it" is the previous valid row of the same key in batch
-order (a skew-safe ``lag`` over ``(key, seq)``, see ``ordering``), else the stored hash. NULL -> created,
+order (``previous_in_key``), else the stored hash. NULL -> created,
 equal -> unchanged, different -> updated. The next destination snapshot is
 the old one with each touched key replaced by its last payload
 (``max_by(seq)``). Cost is proportional to batch + destination; partitions
@@ -17,13 +17,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ts
-from ..schemas import DESTINATION, DESTINATION_FIELDS, IDEMPOTENCY_FIELDS, SYNC_ACTIONS, SYNC_LOG
+from ..schemas import DESTINATION, DESTINATION_FIELDS, IDEMPOTENCY_FIELDS, SYNC_ACTIONS
 from ..spec import CampaignSpec
-from .ordering import previous_in_key
 
 REQUIRED_FIELDS = ("member_id", "campaign_id", "variant", "activation_channel")
 # action/reason vocabulary of the sync log.
@@ -33,6 +32,8 @@ UPDATED = ("updated", "payload_changed")
 PAYLOAD_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # How a missing natural-key part is rendered (the reference formats None as text).
 NULL_KEY_TEXT = "None"
+# Sequence numbers that one task orders for a key.
+SEQ_BLOCK = 1 << 16
 
 
 def activation_records(audience: DataFrame, assignments: DataFrame, m360: DataFrame, spec: CampaignSpec) -> DataFrame:
@@ -109,10 +110,6 @@ def empty_destination(spark) -> DataFrame:
     return spark.createDataFrame([], DESTINATION)
 
 
-def empty_log(spark) -> DataFrame:
-    return spark.createDataFrame([], SYNC_LOG)
-
-
 @dataclass
 class SyncResult:
     log: DataFrame  # one row per attempted record (T-9)
@@ -120,6 +117,25 @@ class SyncResult:
     summary: DataFrame  # one row per run (T-10)
 
 
+def previous_in_key(df: DataFrame, key: str, seq: str, tie: str, value: str, out: str, block: int = SEQ_BLOCK) -> DataFrame:
+    """Adds ``out``: ``value`` of the row before in the same ``key``, in the order
+    of (``seq``, ``tie``); NULL for a key's first row. ``value`` is never NULL.
+
+    Rows are windowed by key *and* block of ``seq``, so a hot key spreads over
+    as many tasks as it has blocks. A block's first row takes the last value of
+    the key's block before it, from a table of one row per key and block. All
+    of it follows from the data; nothing depends on how rows are partitioned.
+    """
+    blocked = df.withColumn("_block", F.coalesce(F.expr(f"{seq} div {block}"), F.lit(0).cast("bigint")))
+    in_block = Window.partitionBy(key, "_block").orderBy(seq, tie)
+    local = blocked.select("*", F.lag(value).over(in_block).alias("_before"), F.row_number().over(in_block).alias("_n"))
+    last = blocked.groupBy(key, "_block").agg(F.max_by(value, F.struct(seq, tie)).alias("_last"))
+    carried = F.lag("_last").over(Window.partitionBy(key).orderBy("_block"))
+    carry = last.select(key, "_block", carried.alias("_carry"))
+    previous = F.when(F.col("_n") > 1, F.col("_before")).otherwise(F.col("_carry"))
+    return local.join(carry, [key, "_block"], "left").select(*[local[c] for c in df.columns], previous.alias(out))
+
+
 def classify(batch: DataFrame, destination: DataFrame, spec: CampaignSpec) -> DataFrame:
     """T-5 + T-7: every batch row with key, payload hash, action and reason.
 
@@ -134,9 +150,8 @@ def classify(batch: DataFrame, destination: DataFrame, spec: CampaignSpec) -> Da
     )
     valid = rows.filter(F.col("_failure").isNull())
     dest = destination.select("idempotency_key", F.col("payload_hash").alias("_stored_hash"))
-    # skew-safe lag over (key, seq, payload_hash): a hot key is split by range
-    prev = previous_in_key(valid, "idempotency_key", ["seq", "payload_hash"], "payload_hash",
-                           "_prev_in_batch").join(dest, "idempotency_key", "left")
+    prev = previous_in_key(valid, "idempotency_key", "seq", "payload_hash", "payload_hash", "_prev_in_batch")
+    prev = prev.join(dest, "idempotency_key", "left")
     before = F.coalesce(F.col("_prev_in_batch"), F.col("_stored_hash"))
     act = (
         F.when(before.isNull(), F.struct(F.lit(CREATED[0]).alias("action"), F.lit(CREATED[1]).alias("reason")))

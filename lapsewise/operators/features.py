@@ -40,7 +40,7 @@ def event_features(events: DataFrame, spec: CampaignSpec) -> DataFrame:
     """
     t = ts(spec.campaign_at)
     recent = F.col("event_ts") >= ts(spec.recent_start)
-    categorised = F.col("category").isNotNull()
+    categorised = F.col("category") != ""  # neither missing nor empty
     return (
         events.filter(F.col("event_ts") < t)
         .groupBy("member_id")

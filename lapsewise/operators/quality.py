@@ -25,7 +25,6 @@ from ..functions.columns import ts
 from ..schemas import CONSENT_STATUSES, EVENT_NAMES, SUBSCRIBED
 from ..spec import CampaignSpec
 from .consent import latest_consent
-from .skew import skew_safe_join
 
 
 class Tables:
@@ -39,27 +38,44 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.raw[name]
 
-    # shared scopes: each is scanned/joined once for all its rules ----------
-    def _known(self) -> DataFrame:
-        return self["members"].select("member_id", "joined_at", F.lit(True).alias("_known"))
+    # Rules on a table's own columns count its rows alone. Rules about members
+    # aggregate per member first, so no raw row crosses a shuffle for them.
+    @cached_property
+    def events(self) -> DataFrame:
+        return self["events"].select("member_id", "event_name", "event_ts", F.lit(1).alias("_w"))
+
+    @cached_property
+    def listings(self) -> DataFrame:
+        return self["listings"].select("member_id", "created_at", "sold_at", F.lit(1).alias("_w"))
+
+    def _unknown(self, table: str) -> DataFrame:
+        """Member ids of ``table`` that no member has (NULL among them), with their rows."""
+        per_member = self[table].groupBy("member_id").agg(F.count(F.lit(1)).alias("_w"))
+        return per_member.join(self["members"].select("member_id"), "member_id", "left_anti")
+
+    @cached_property
+    def events_unknown(self) -> DataFrame:
+        return self._unknown("events")
 
-    # raw event/listing rows meet members through a skew-safe join: a member
-    # with a huge share of rows is joined against a broadcast slice in place
     @cached_property
-    def events_members(self) -> DataFrame:
-        ev = self["events"].select("member_id", "event_name", "event_ts", F.lit(1).alias("_w"))
-        return skew_safe_join(ev, self._known(), "member_id", "left")
+    def listings_unknown(self) -> DataFrame:
+        return self._unknown("listings")
 
     @cached_property
-    def listings_members(self) -> DataFrame:
-        li = self["listings"].select("member_id", "created_at", "sold_at", F.lit(1).alias("_w"))
-        return skew_safe_join(li, self._known(), "member_id", "left")
+    def touches_unknown(self) -> DataFrame:
+        return self._unknown("campaign_touches")
 
     @cached_property
-    def touches_members(self) -> DataFrame:
-        # pre-aggregate: one row per member per map task crosses the shuffle
-        per_member = self["campaign_touches"].groupBy("member_id").agg(F.count(F.lit(1)).alias("_w"))
-        return per_member.join(self._known(), "member_id", "left")
+    def events_early(self) -> DataFrame:
+        """Events before their member joined. Members with such an event show from
+        the first event of each; only events before the latest of their join
+        times are looked at again (none in a clean table)."""
+        members = self["members"].select("member_id", "joined_at")
+        first = self["events"].groupBy("member_id").agg(F.min("event_ts").alias("first_ts"))
+        late = first.join(members, "member_id").filter("first_ts < joined_at").select("member_id", "joined_at")
+        until = late.agg(F.max("joined_at")).scalar()
+        events = self["events"].select("member_id", "event_name", "event_ts").filter(F.col("event_ts") < until)
+        return events.join(late, "member_id").filter("event_ts < joined_at").select("*", F.lit(1).alias("_w"))
 
     @cached_property
     def consent(self) -> DataFrame:
@@ -139,7 +155,7 @@ def identity_conflicts(events: DataFrame) -> DataFrame:
 
 
 def orphan_touches(t: Tables) -> DataFrame:
-    return t.touches_members.filter(F.col("_known").isNull()).select("member_id", F.col("_w").alias("touches"))
+    return t.touches_unknown.select("member_id", F.col("_w").alias("touches"))
 
 
 def arm_balance(t: Tables) -> DataFrame:
@@ -184,76 +200,76 @@ def _rules() -> tuple[Rule, ...]:
     aud_x, aud_x_v = _anti("audience", "experiment_assignments")
     asg_x, asg_x_v = _anti("experiment_assignments", "audience")
     return (
-        Rule("Q-1", "member_primary_key_unique", "Every member has one canonical record.",
+        Rule("Q-1", "member_primary_key_unique", "No member id occurs twice.",
              count=_dup_count("members", "member_id"), violations=_dup_violations("members", "member_id")),
-        Rule("Q-2", "event_primary_key_unique", "Product event IDs are unique.",
+        Rule("Q-2", "event_primary_key_unique", "No event id occurs twice.",
              count=_dup_count("events", "event_id"), violations=_dup_violations("events", "event_id")),
-        Rule("Q-3", "listing_primary_key_unique", "Listing IDs are unique.",
+        Rule("Q-3", "listing_primary_key_unique", "No listing id occurs twice.",
              count=_dup_count("listings", "listing_id"), violations=_dup_violations("listings", "listing_id")),
-        Rule("Q-4", "event_member_referential_integrity", "All product events resolve to a known member.",
-             scope="events_members", predicate=lambda s: F.col("_known").isNull()),
+        Rule("Q-4", "event_member_referential_integrity", "Events belong to members that exist.",
+             scope="events_unknown", predicate=lambda s: F.lit(True)),
         Rule("Q-5", "anonymous_identity_maps_to_one_member",
-             "An anonymous browser or app identifier never resolves to multiple members.",
+             "One anonymous id is never seen with two members.",
              count=lambda t: identity_conflicts(t["events"]).agg(F.count(F.lit(1)).alias("actual")),
              violations=lambda t: identity_conflicts(t["events"])),
-        Rule("Q-6", "accepted_event_names", "The event stream conforms to the governed tracking plan.",
-             scope="events_members", predicate=lambda s: ~F.col("event_name").isin(*names)),
-        Rule("Q-7", "events_not_before_member_join", "No known-member event predates the member record.",
-             scope="events_members", predicate=lambda s: F.col("event_ts") < F.col("joined_at")),
-        Rule("Q-8", "listing_member_referential_integrity", "All listings resolve to a known member.",
-             scope="listings_members", predicate=lambda s: F.col("_known").isNull()),
-        Rule("Q-9", "listing_sale_after_creation", "A sold timestamp cannot precede listing creation.",
-             scope="listings_members",
+        Rule("Q-6", "accepted_event_names", "Event names are among those of the tracking plan.",
+             scope="events", predicate=lambda s: ~F.col("event_name").isin(*names)),
+        Rule("Q-7", "events_not_before_member_join", "Members have no event before they joined.",
+             scope="events_early", predicate=lambda s: F.lit(True)),
+        Rule("Q-8", "listing_member_referential_integrity", "Listings belong to members that exist.",
+             scope="listings_unknown", predicate=lambda s: F.lit(True)),
+        Rule("Q-9", "listing_sale_after_creation", "Listings are sold after they were created.",
+             scope="listings",
              predicate=lambda s: F.col("sold_at").isNotNull() & (F.col("sold_at") < F.col("created_at"))),
-        Rule("Q-10", "touch_member_referential_integrity", "All campaign touches resolve to a known member.",
-             scope="touches_members", predicate=lambda s: F.col("_known").isNull()),
-        Rule("Q-11", "accepted_consent_statuses", "Consent history uses governed status values.",
+        Rule("Q-10", "touch_member_referential_integrity", "Touches belong to members that exist.",
+             scope="touches_unknown", predicate=lambda s: F.lit(True)),
+        Rule("Q-11", "accepted_consent_statuses", "Consent statuses are among the allowed ones.",
              scope="consent", predicate=lambda s: ~F.col("status").isin(*statuses)),
         Rule("Q-12", "campaign_date_consent_snapshot_reconciles",
-             "Campaign-date member consent flags reconcile to consent history.",
+             "Consent flags agree with the last consent before the campaign.",
              scope="consent_members",
              predicate=lambda s: ((F.col("channel") == "email") & ((F.col("status") == SUBSCRIBED) != F.col("email_consent")))
              | ((F.col("channel") == "push") & ((F.col("status") == SUBSCRIBED) != F.col("push_consent")))),
         Rule("Q-13", "audience_has_channel_consent",
-             "Every activated member has campaign-date consent for the selected channel.",
+             "Audience members consented to their channel.",
              scope="audience_members",
              predicate=lambda s: ((F.col("activation_channel") == "email") & ~F.col("email_consent"))
              | ((F.col("activation_channel") == "push") & ~F.col("push_consent"))),
         Rule("Q-14", "audience_has_no_suppressed_members",
-             "Suppressed members never enter the activation audience.",
+             "The audience holds no suppressed member.",
              scope="audience_members", predicate=lambda s: F.col("is_suppressed")),
         Rule("Q-15", "audience_respects_contact_cap",
-             "Eligible members have received fewer than two marketing contacts in seven days.",
+             "Audience members are below the contact cap.",
              scope="audience_m360", predicate=lambda s: F.col("marketing_contacts_7d") >= s.contact_cap),
-        Rule("Q-16", "audience_has_no_campaign_conflict", "High-priority journeys and holdouts are excluded.",
+        Rule("Q-16", "audience_has_no_campaign_conflict", "Audience members have no campaign conflict.",
              scope="audience_m360", predicate=lambda s: F.col("has_active_campaign_exclusion")),
         Rule("Q-17", "audience_is_lapsed_and_recently_active",
-             "Audience members are both 90-day lapsed sellers and recently active.",
+             "Audience members lapsed as sellers and were active lately.",
              scope="audience_m360", predicate=lambda s: ~F.col("is_lapsed_seller") | ~F.col("has_recent_activity")),
         Rule("Q-18", "experiment_assignment_unique",
-             "Each eligible member receives exactly one experiment assignment.",
+             "No member is assigned twice.",
              count=_dup_count("experiment_assignments", "member_id"),
              violations=_dup_violations("experiment_assignments", "member_id")),
-        Rule("Q-19", "accepted_experiment_variants", "Assignments use only pre-registered experiment variants.",
+        Rule("Q-19", "accepted_experiment_variants", "Assigned arms are among the declared ones.",
              scope="assignments", predicate=lambda s: ~F.col("variant").isin(*s.arms)),
-        Rule("Q-20", "assignment_precedes_campaign", "Randomization is completed before campaign exposure.",
+        Rule("Q-20", "assignment_precedes_campaign", "Members are assigned before the campaign starts.",
              scope="assignments", predicate=lambda s: F.col("assigned_at") >= ts(s.campaign_at)),
-        Rule("Q-21", "all_audience_members_randomized", "No eligible audience member is missing an assignment.",
+        Rule("Q-21", "all_audience_members_randomized", "Every audience member is assigned.",
              count=aud_x, violations=aud_x_v),
         Rule("Q-22", "no_ineligible_member_randomized",
-             "Assignments contain no member outside the governed audience.",
+             "Every assigned member is in the audience.",
              count=asg_x, violations=asg_x_v),
-        Rule("Q-23", "control_receives_no_campaign_message", "The control group remains unexposed.",
+        Rule("Q-23", "control_receives_no_campaign_message", "Control members receive no campaign message.",
              scope="outcomes",
              predicate=lambda s: (F.col("variant") == s.control_arm) & (F.col("message_sent_count") != 0)),
         Rule("Q-24", "treatments_receive_one_campaign_message",
-             "Every treatment member receives one initial campaign touch.",
+             "Treated members receive one campaign message each.",
              scope="outcomes",
              predicate=lambda s: F.col("variant").isin(*s.treatments) & (F.col("message_sent_count") != 1)),
         Rule("Q-25", "experiment_groups_balanced",
-             "Deterministic randomization keeps arm sizes within one member.", count=arm_balance),
+             "Arm sizes differ by one member at most.", count=arm_balance),
         Rule("Q-26", "experiment_results_reconcile",
-             "The aggregated experiment population reconciles to the governed audience.",
+             "Members in the results add up to the audience.",
              count=results_reconcile),
     )
 
@@ -288,7 +304,7 @@ def quality_results(t: Tables, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             parts.append(r.count(t).select(F.lit(r.name).alias("name"), F.col("actual").cast("bigint").alias("actual")))
     for scope, rs in scopes.items():
         agg = t.scope(scope).agg(
-            *[F.sum(F.when(F.coalesce(r.predicate(t.spec), F.lit(False)), F.col("_w")).otherwise(0)).alias(f"c{i}")
+            *[F.coalesce(F.sum(F.when(F.coalesce(r.predicate(t.spec), F.lit(False)), F.col("_w")).otherwise(0)), F.lit(0)).alias(f"c{i}")
               for i, r in enumerate(rs)]
         )
         stack = F.array(*[F.struct(F.lit(r.name).alias("name"), F.col(f"c{i}").cast("bigint").alias("actual"))

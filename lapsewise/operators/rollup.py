@@ -27,7 +27,8 @@ WATCH, PURCHASE = "watchlist_added", "purchase_completed"
 
 def _latest_category(cond=None):
     """max over struct(ts, id, category) of categorised events = the latest one."""
-    c = F.col("category").isNotNull() if cond is None else (F.col("category").isNotNull() & cond)
+    named = F.col("category") != ""  # neither missing nor empty
+    c = named if cond is None else named & cond
     return F.max(F.when(c, F.struct("event_ts", "event_id", "category")))
 
 

@@ -10,17 +10,20 @@ stops before activation and analysis when a blocking quality rule fails.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..spec import CampaignSpec
 
 
 class CampaignRun:
     def __init__(self, spark: SparkSession, spec: CampaignSpec, raw: dict[str, DataFrame] | None = None,
-                 materialize: bool = False, event_rollup: DataFrame | None = None):
+                 materialize: bool = False, event_rollup: DataFrame | None = None,
+                 rejects: dict[str, DataFrame] | None = None):
         self.spark, self.spec, self._raw = spark, spec, raw or {}
+        self.rejects = rejects or {}  # rows that staging refused; any of them stops run_pipeline
         self.materialize = materialize
         self.event_rollup = event_rollup  # hourly rollup (rollup.py); None -> read raw events
         self._store = None
@@ -124,6 +127,21 @@ class CampaignRun:
         return self._mart(experiment_results(self.member_outcomes, self.spec), "experiment_results")
 
     # quality ------------------------------------------------------------------
+    @cached_property
+    def rejected_rows(self) -> DataFrame:
+        """Rows per table and reason that lack a required value (S-9)."""
+        counts = [df.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rejected"))
+                  .select(F.lit(name).alias("table_name"), "reject_reason", "rejected") for name, df in self.rejects.items()]
+        if not counts:
+            return self.spark.createDataFrame([], "table_name string, reject_reason string, rejected long")
+        return self._mart(reduce(DataFrame.unionByName, counts), "rejected_rows")
+
+    @cached_property
+    def arm_set_check(self) -> DataFrame:
+        from ..operators.experiment import arm_set_check
+
+        return arm_set_check(self.experiment_results, self.spec)
+
     @cached_property
     def quality_tables(self):
         from ..operators.quality import Tables
@@ -231,13 +249,19 @@ class CampaignRun:
 class PipelineOutcome:
     quality_passed: bool
     outputs: dict[str, str] = field(default_factory=dict)
+    stopped_by: str | None = None  # "rejected_rows", "quality" or "arm_set"
 
 
 def run_pipeline(run: CampaignRun, out_dir: str) -> PipelineOutcome:
-    """Write marts and reports; stop before activation/analysis on a failed rule."""
+    """Write marts and reports. Stops at once if staging refused a row, and before
+    activation and analysis if a quality rule fails or the observed arms are not
+    the declared ones."""
+    from ..operators import experiment as X
+    from ..operators import reports
     from ..operators.activation import run_summary, sample_payloads
     from ..operators.audience import category_distribution, funnel
     from ..operators.quality import quality_passed
+    from ..operators.schema_tests import declared_tests, row_counts, run_schema_tests
     from ..sources import sinks
 
     root = out_dir.rstrip("/")
@@ -248,14 +272,22 @@ def run_pipeline(run: CampaignRun, out_dir: str) -> PipelineOutcome:
         (sinks.write_report_json if json else sinks.write_table)(df, path)
         out[name] = path
 
-    sinks.write_marts({"member_360": run.member_360, "eligible_audience": run.eligible_audience,
-                       "member_outcomes": run.member_outcomes, "experiment_results": run.experiment_results},
-                      f"{root}/marts")
+    put("rejected_rows", run.rejected_rows, json=True)
+    if not run.rejected_rows.isEmpty():
+        return PipelineOutcome(False, out, "rejected_rows")
+    marts = {"member_360": run.member_360, "eligible_audience": run.eligible_audience,
+             "member_outcomes": run.member_outcomes, "experiment_results": run.experiment_results}
+    sinks.write_marts(marts, f"{root}/marts")
     sinks.write_audience_sample(run.eligible_audience, f"{root}/activation_audience_sample")
+    put("row_counts", row_counts(run.raw() | marts), json=True)
+    put("warehouse_tests", run_schema_tests(run.raw() | marts, declared_tests(run.spec.arms, run.spec.channels)), json=True)
     put("data_quality", run.quality_results, json=True)
     passed = bool(quality_passed(run.quality_results).first()["quality_passed"])  # one row
     if not passed:
-        return PipelineOutcome(False, out)
+        return PipelineOutcome(False, out, "quality")
+    put("arm_set_check", run.arm_set_check, json=True)
+    if not run.arm_set_check.filter(~F.col("arms_match")).isEmpty():
+        return PipelineOutcome(True, out, "arm_set")
     first_log, _ = run.first_sync
     replay_log, dest = run.replay_sync
     put("destination", dest)
@@ -271,4 +303,9 @@ def run_pipeline(run: CampaignRun, out_dir: str) -> PipelineOutcome:
     put("decision_scenarios", run.decision_sweep, json=True)
     put("funnel", funnel(run.member_360), json=True)
     put("category_distribution", category_distribution(run.eligible_audience), json=True)
+    put("treatment_table", reports.treatment_table(run.comparisons), json=True)
+    put("conversion_by_arm", reports.conversion_by_arm(run.experiment_results), json=True)
+    put("headline", reports.headline(run.experiment_results, run.decision_report, run.quality_results), json=True)
+    balance = X.balance_summary(run.covariate_balance, run.spec)
+    put("evidence", reports.evidence(run.experiment_results, run.decision_report, run.srm, balance, run.power, run.spec), json=True)
     return PipelineOutcome(True, out)

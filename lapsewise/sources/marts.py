@@ -13,8 +13,9 @@ table over the same folder, registered under a run-unique name): every mart
 hashes members into the same buckets, so joins between them need no
 shuffle, and a join with an unbucketed input shuffles only that input. Rows
 are hash-partitioned by the bucket key before the write, so each bucket is
-one file. If the session's catalog refuses the table, the mart falls back to
-a plain Parquet write.
+one file. There are as many buckets as the session has shuffle partitions when
+the store is made (or as many as it is told), so a join with a shuffled input
+needs no second exchange of the mart.
 """
 
 from __future__ import annotations
@@ -27,18 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 
-MAX_BUCKETS = 4096
-TARGET_BUCKET_BYTES = 64 * 1024 * 1024
-
-
 class MartStore:
     def __init__(self, spark: SparkSession, run_id: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapsewise-marts/{self.run_id}"
-        # one bucket count per run (co-location needs the same count for every
-        # member-keyed mart); fixed at the first bucketed write, see _bucket_count
-        self.buckets = buckets
+        # one count per run: co-location needs the same for every member-keyed mart
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -46,29 +42,12 @@ class MartStore:
     def table_name(self, name: str) -> str:
         return re.sub(r"[^a-z0-9_]", "_", f"lapsewise_{self.run_id}_{name}".lower())
 
-    def _bucket_count(self, df: DataFrame) -> int:
-        """~64 MB per bucket from the optimizer's size estimate of the first
-        member-keyed mart (all of them are member-sized), capped by the
-        session's shuffle partitions and MAX_BUCKETS."""
-        if self.buckets is None:
-            try:
-                est = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-            except Exception:  # noqa: BLE001 -- no estimate: use the session's parallelism
-                est = 1 << 62
-            cap = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
-            self.buckets = max(1, min(cap, -(-est // TARGET_BUCKET_BYTES)))
-        return self.buckets
-
     def write(self, df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
-        if bucket_by is not None:
-            n = self._bucket_count(df)
-            try:
-                table = self.table_name(name)
-                (df.repartition(n, bucket_by).write.mode("overwrite")
-                 .bucketBy(n, bucket_by).sortBy(bucket_by)
-                 .option("path", self.path(name)).saveAsTable(table))
-                return self.spark.table(table)
-            except Exception:  # noqa: BLE001 -- catalog without table support: plain files
-                pass
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        if bucket_by is None:
+            df.write.mode("overwrite").parquet(self.path(name))
+            return self.spark.read.parquet(self.path(name))
+        table = self.table_name(name)
+        (df.repartition(self.buckets, bucket_by).write.mode("overwrite")
+         .bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
+         .option("path", self.path(name)).saveAsTable(table))
+        return self.spark.table(table)

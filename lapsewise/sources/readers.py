@@ -5,7 +5,7 @@ CSV is read as text with a header; columns are picked **by header name**
 column is cast to the entity type. Tolerant timestamp columns parse bad text
 as NULL; a required column that is NULL or fails its cast sends the row to a
 reject DataFrame with the reason, instead of being silently kept (S-9).
-Parquet sources are selected and cast the same way. Reading a missing path
+Parquet sources and tables are selected, emptied and cast the same way. Reading a missing path
 raises Spark's PATH_NOT_FOUND analysis error (S-10).
 """
 
@@ -44,7 +44,10 @@ def stage(df: DataFrame, table: str) -> Staged:
     """P-1..P-7: cast to the entity schema; split off rows failing required columns."""
     schema = RAW_TABLES[table]
     required = set(required_columns(schema))
-    typed = df.select(
+    # '' is a missing value in every source format, whatever the column's type will be
+    text = {c for c, kind in df.dtypes if kind == "string"}
+    raw = df.select(*[(F.nullif(F.col(c), F.lit("")) if c in text else F.col(c)).alias(c) for c in schema.fieldNames()])
+    typed = raw.select(
         *[F.col(f.name).alias(f"_raw_{f.name}") for f in schema.fields],
         *[_typed(f.name, f.dataType).alias(f.name) for f in schema.fields],
     )
@@ -82,7 +85,13 @@ def required_null_counts(df: DataFrame, table: str) -> DataFrame:
     return agg.select(F.lit(table).alias("table_name"), F.inline(stack))
 
 
+def read_raw_table(spark: SparkSession, name: str, table: str) -> Staged:
+    """A table of the session's catalog (a warehouse source), staged."""
+    return stage(spark.read.table(name).select(*RAW_TABLES[table].fieldNames()), table)
+
+
 def read_sources(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") -> dict[str, Staged]:
-    """S-19: the named raw sources (entity -> path) read and staged."""
-    reader = read_raw_csv if fmt == "csv" else read_raw_parquet
+    """S-19: the named raw sources (entity -> path, or table name) read and staged;
+    ``fmt`` is csv, parquet or table."""
+    reader = {"csv": read_raw_csv, "parquet": read_raw_parquet, "table": read_raw_table}[fmt]
     return {table: reader(spark, path, table) for table, path in paths.items()}

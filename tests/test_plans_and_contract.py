@@ -14,7 +14,8 @@ def test_entry_funnel_matches_fixture_counts(spark):
 
 
 def test_every_query_has_an_oracle_with_matching_names(spark):
-    qs, sql = entry.queries(), entry.oracle_sql()
+    qs, sql = Q.queries(), Q.oracle_sql()
+    assert set(qs) <= set(entry.queries()) and set(sql) <= set(entry.oracle_sql())
     assert set(qs) == set(sql)
     assert len(qs) >= 30
 
@@ -62,22 +63,16 @@ def test_member_keyed_marts_join_without_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
-def test_skew_safe_join_equals_plain_join_with_a_hot_key(spark):
-    from pyspark.sql import functions as F
-
-    from lapsewise.operators.skew import hot_keys, skew_safe_join
+def test_quality_rules_send_no_raw_event_through_a_shuffle(spark):
+    """Events cross an exchange per member (or per key), or below a bound on their
+    time that no event of a clean table meets."""
+    from lapsewise.operators.quality import quality_results
 
-    big = spark.range(30000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("k"),
-        F.col("id"))
-    big = big.unionByName(spark.createDataFrame([(None, -1)], "k string, id long"))
-    dim = spark.range(400).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("v")).unionByName(
-        spark.createDataFrame([("hot", 7)], "k string, v long"))
-    assert [r.k for r in hot_keys(big, "k", 100).collect()] == ["hot"]
-    for how in ("inner", "left"):
-        a = sorted((tuple(r) for r in skew_safe_join(big, dim, "k", how, max_hot=100).collect()), key=repr)
-        b = sorted((tuple(r) for r in big.join(dim, "k", how).collect()), key=repr)
-        assert a == b
+    w = Q.TestWarehouse(spark, SF_SMALL)
+    plan = quality_results(w.quality_tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line and "event" in line]
+    assert joins == []
 
 
 def test_no_registered_query_plans_a_cartesian_or_nested_loop_join(spark):
@@ -85,7 +80,7 @@ def test_no_registered_query_plans_a_cartesian_or_nested_loop_join(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         bad = []
-        for name, fn in entry.queries().items():
+        for name, fn in Q.queries().items():
             plan = _plan(fn(spark, SF_SMALL))
             if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
                 bad.append(name)
