@@ -137,15 +137,26 @@ def tracking_plan_violations(events: DataFrame, as_of: datetime, taxonomy: tuple
     return out.select("event_name", "check_name", F.col("violations").cast("bigint").alias("violations"))
 
 
-def write_incremental(df: DataFrame, path: str, time_col: str, date_col: str = "event_date") -> None:
-    """N-6: incremental materialisation -- rewrite only the dates present in ``df``.
+def write_incremental(df: DataFrame, path: str, time_col: str, date_col: str = "event_date",
+                      dates: list[str] | None = None) -> None:
+    """N-6: incremental materialisation -- rewrite the dates present in ``df``.
 
     Dynamic partition overwrite replaces the touched date partitions and keeps
-    every other date, so a late batch or a retry never rewrites history.
+    every other date, so a late batch or a retry never rewrites history. Of the
+    ``dates`` a refresh was asked for, those without a row any more (all
+    withdrawn) are removed.
     """
+    spark = df.sparkSession
+    out = df.withColumn(date_col, F.to_date(time_col))
     # per-write option: no session-wide setting is changed
-    (df.withColumn(date_col, F.to_date(time_col)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
+    if not dates:
+        return
+    filled = {str(r[0]) for r in out.select(date_col).distinct().collect()}  # at most the requested dates
+    jvm = spark.sparkContext._jvm
+    for date in set(map(str, dates)) - filled:
+        gone = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{date_col}={date}")
+        gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
 
 
 def send_time_recheck(records: DataFrame, m360_at_send: DataFrame, spec: CampaignSpec) -> DataFrame:

@@ -46,8 +46,12 @@ def event_hourly_rollup(events: DataFrame) -> DataFrame:
 def refresh_rollup(events: DataFrame, path: str, dates: list[str] | None = None) -> None:
     """Recompute the rollup for the given event dates (all when None) and
     overwrite only those date partitions."""
-    ev = events if dates is None else events.filter(F.to_date("event_ts").isin(*dates))
-    write_incremental(event_hourly_rollup(ev), path, "hour", date_col="event_date")
+    if dates is None:
+        rollup = event_hourly_rollup(events).withColumn("event_date", F.to_date("hour"))
+        rollup.write.mode("overwrite").partitionBy("event_date").parquet(path)
+        return
+    ev = events.filter(F.to_date("event_ts").isin(*dates))
+    write_incremental(event_hourly_rollup(ev), path, "hour", date_col="event_date", dates=dates)
 
 
 def _floor_hour(t: datetime) -> datetime:

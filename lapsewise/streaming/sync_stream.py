@@ -1,106 +1,73 @@
-"""Activation sync as a micro-batch stream (T-14), merge-on-read.
+"""Activation sync as a micro-batch stream (T-14).
 
 ``writeStream.foreachBatch`` applies the set-based sync (T-5..T-9) to each
-micro-batch. The destination is stored as versioned *changes*: batch ``N``
-writes only the memberships it created or updated, as ``version=N``, plus its
-log partition ``batch_id=N``, both with overwrite. The state before batch N
-is the newest row per key among versions < N. So a batch costs time
-proportional to its own size (plus a keyed lookup), not to the destination.
-A re-run of batch N rewrites the same two directories: no duplicate
-memberships or log rows, and redelivered records are ``unchanged``.
-``compact`` folds the versions up to N into one base version, bounding read
-cost; it is safe to repeat.
+micro-batch. The destination is one row per membership, partitioned by a hash
+bucket of the idempotency key: a batch reads and overwrites only the buckets
+its keys fall into (partition pruning, dynamic partition overwrite).
+
+A batch writes twice: first its log, under the stream's own identity and the
+batch number, then its buckets. A batch that is delivered again keeps the log
+of its first delivery and upserts the same rows, so a crash before, between or
+after the writes loses and repeats nothing. A stream started over with a new
+checkpoint has a new identity and logs beside the old one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.activation import classify, empty_destination, run_summary, snapshot_changes
+from ..operators.activation import classify, empty_destination, next_snapshot, run_summary
 from ..schemas import DESTINATION
+from ..session import ensure_checkpoint_dir
 from ..spec import CampaignSpec
 
-VERSIONED = T.StructType(DESTINATION.fields + [T.StructField("version", T.LongType())])
+BUCKETS = 256
+STORED = T.StructType([*DESTINATION.fields, T.StructField("bucket", T.IntegerType())])
+
+
+def key_bucket() -> Column:
+    return F.pmod(F.xxhash64("idempotency_key"), F.lit(BUCKETS)).cast("int")
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def state_before(spark: SparkSession, dest_root: str, version: int, members: DataFrame | None = None) -> DataFrame:
-    """Destination as of all committed versions below ``version`` (newest row per key).
-
-    With ``members``, only those members' rows are read and aggregated
-    (semi-join before the aggregate), so a lookup costs as much as the batch.
-    """
+def current_state(spark: SparkSession, dest_root: str, buckets: list[int] | None = None) -> DataFrame:
+    """The destination, or the given buckets of it."""
     if not _path_exists(spark, dest_root):
         return empty_destination(spark)
-    rows = spark.read.schema(VERSIONED).parquet(dest_root).filter(F.col("version") < version)
-    if members is not None:
-        rows = rows.join(members, "member_id", "left_semi")
-    cols = DESTINATION.fieldNames()
-    latest = rows.groupBy("idempotency_key").agg(
-        F.max_by(F.struct(*[c for c in cols if c != "idempotency_key"]), F.col("version")).alias("r"))
-    return latest.select("idempotency_key", *[F.col(f"r.{c}").alias(c) for c in cols if c != "idempotency_key"])
-
-
-def current_state(spark: SparkSession, dest_root: str) -> DataFrame:
-    return state_before(spark, dest_root, 2**62)
+    rows = spark.read.schema(STORED).parquet(dest_root)
+    if buckets is not None:
+        rows = rows.filter(F.col("bucket").isin(buckets))
+    return rows.select(*DESTINATION.fieldNames())
 
 
-def sync_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, dest_root: str, log_root: str,
-               spec: CampaignSpec, run_prefix: str = "stream") -> DataFrame:
+def sync_batch(spark: SparkSession, batch: DataFrame, stream: str, epoch_id: int, dest_root: str, log_root: str,
+               spec: CampaignSpec) -> DataFrame:
+    """Sync one batch; returns its run summary (of the first delivery)."""
     if "seq" not in batch.columns:
         batch = batch.withColumn("seq", F.lit(0).cast("bigint"))
-    members = batch.select("member_id").filter(F.col("member_id").isNotNull()).distinct()
-    current = state_before(spark, dest_root, epoch_id, members)
-    # classified once per micro-batch; the log and the change set both read it
-    c = classify(batch, current, spec).persist()
-    try:
-        log = c.select(F.lit(f"{run_prefix}-{epoch_id}").alias("run_id"), F.col("seq").cast("bigint").alias("seq"),
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapsewise-stream/{stream}/{epoch_id}"
+    # Keys do not depend on the destination; at most BUCKETS numbers come back.
+    keys = classify(batch, empty_destination(spark), spec).filter("idempotency_key IS NOT NULL")
+    buckets = sorted(r.bucket for r in keys.select(key_bucket().alias("bucket")).distinct().collect())
+    current = current_state(spark, dest_root, buckets)
+    classify(batch, current, spec).write.mode("overwrite").parquet(f"{scratch}/classified")
+    c = spark.read.parquet(f"{scratch}/classified")
+    log_path = f"{log_root.rstrip('/')}/stream={stream}/batch_id={epoch_id}"
+    if not _path_exists(spark, f"{log_path}/_SUCCESS"):
+        log = c.select(F.lit(f"{stream}-{epoch_id}").alias("run_id"), F.col("seq").cast("bigint").alias("seq"),
                        "idempotency_key", "member_id", "action", "reason")
-        log.write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/batch_id={epoch_id}")
-        changes = snapshot_changes(c, current, spec.campaign_at)
-        changes.write.mode("overwrite").parquet(f"{dest_root.rstrip('/')}/version={epoch_id}")
-    finally:
-        c.unpersist()
-    return run_summary(spark.read.parquet(f"{log_root.rstrip('/')}/batch_id={epoch_id}"))
-
-
-def compact(spark: SparkSession, dest_root: str, upto: int) -> None:
-    """Rewrite ``version=upto`` as the full state up to it. Every key's newest
-    row is then at ``upto``, so older versions no longer change any read and
-    can be dropped (``drop_versions_below``). Repeating it is harmless."""
-    state = state_before(spark, dest_root, upto + 1)
-    tmp = f"{dest_root.rstrip('/')}/_compacting={upto}"
-    state.write.mode("overwrite").parquet(tmp)
-    spark.read.schema(DESTINATION).parquet(tmp).write.mode("overwrite").parquet(
-        f"{dest_root.rstrip('/')}/version={upto}")
-    _delete(spark, tmp)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def drop_versions_below(spark: SparkSession, dest_root: str, version: int) -> int:
-    """Retention after ``compact``: delete version directories below ``version``."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(dest_root)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    dropped = 0
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("version=") and int(name.split("=", 1)[1]) < version:
-            fs.delete(st.getPath(), True)
-            dropped += 1
-    return dropped
+        log.write.mode("overwrite").parquet(log_path)
+    after = next_snapshot(c, current, spec.campaign_at).withColumn("bucket", key_bucket())
+    after.write.mode("overwrite").parquet(f"{scratch}/after")  # read before it is overwritten
+    (spark.read.parquet(f"{scratch}/after").repartition("bucket").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(dest_root))
+    return run_summary(spark.read.parquet(log_path))
 
 
 def start_sync_stream(records: DataFrame, dest_root: str, log_root: str, checkpoint: str, spec: CampaignSpec,
@@ -110,7 +77,9 @@ def start_sync_stream(records: DataFrame, dest_root: str, log_root: str, checkpo
     spark = records.sparkSession
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        sync_batch(spark, batch, epoch_id, dest_root, log_root, spec)
+        # the identity that the checkpoint gave the query
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        sync_batch(spark, batch, stream, epoch_id, dest_root, log_root, spec)
 
     writer = records.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"availableNow": True}))

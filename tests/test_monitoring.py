@@ -27,6 +27,18 @@ def test_incremental_write_keeps_untouched_dates(spark, tmp_path):
     assert ids == ["e1", "e3"]  # 07-01 kept, 07-02 replaced by the new batch
 
 
+def test_refresh_removes_a_date_whose_events_are_all_withdrawn(spark, tmp_path):
+    from lapsewise.operators.rollup import refresh_rollup
+
+    path = str(tmp_path / "rollup")
+    rows = [(f"e{d}", "m1", "item_viewed", "c", datetime(2026, 7, d, 10)) for d in (1, 2)]
+    events = spark.createDataFrame(rows, "event_id string, member_id string, event_name string, category string, event_ts timestamp_ntz")
+    refresh_rollup(events, path)
+    assert spark.read.parquet(path).count() == 2
+    refresh_rollup(events.filter("event_id <> 'e2'"), path, dates=["2026-07-02"])
+    assert [str(r.event_date) for r in spark.read.parquet(path).collect()] == ["2026-07-01"]
+
+
 def test_send_time_recheck_blocks_changed_members(spark, spec):
     recs = spark.createDataFrame(
         [("m1", spec.campaign_id, "generic", "email"), ("m2", spec.campaign_id, "generic", "email"),
