@@ -85,6 +85,19 @@ class CampaignRun:
         """Touches read by the contact-pressure feature (all campaigns)."""
         return self.campaign_touches
 
+    # What features and outcomes read; a subclass may bound it by their windows.
+    @property
+    def feature_events(self) -> DataFrame:
+        return self.events
+
+    @property
+    def feature_listings(self) -> DataFrame:
+        return self.listings
+
+    @property
+    def outcome_listings(self) -> DataFrame:
+        return self.listings
+
     def raw(self) -> dict[str, DataFrame]:
         return {
             "members": self.members, "events": self.events, "listings": self.listings,
@@ -99,7 +112,7 @@ class CampaignRun:
         from ..operators.features import member_360
 
         return self._mart(
-            member_360(self.members, self.listings, self.events, self.feature_touches,
+            member_360(self.members, self.feature_listings, self.feature_events, self.feature_touches,
                        self.campaign_exclusions, self.spec, event_rollup=self.event_rollup),
             "member_360",
         )
@@ -115,7 +128,7 @@ class CampaignRun:
         from ..operators.outcomes import experiment_member_outcomes
 
         return self._mart(
-            experiment_member_outcomes(self.eligible_audience, self.experiment_assignments, self.listings,
+            experiment_member_outcomes(self.eligible_audience, self.experiment_assignments, self.outcome_listings,
                                        self.campaign_touches, self.spec),
             "member_outcomes",
         )

@@ -13,7 +13,7 @@ feature), randomised with X-14, and one touch is emitted per treatment member.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,8 +55,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+def between(df: DataFrame, column: str, shift: timedelta, since: datetime | None, until: datetime | None) -> DataFrame:
+    """Rows whose ``column`` + ``shift`` lies in [since, until). The bounds are moved,
+    not the column, so Parquet sees them."""
+    if since is not None:
+        df = df.filter(F.col(column) >= ts(since - shift))
+    return df if until is None else df.filter(F.col(column) < ts(until - shift))
+
+
+def events_entity(spark: SparkSession, sf_dir: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    e = between(read_table(spark, sf_dir, "events"), "ts", -timedelta(days=EVENT_SHIFT_DAYS), since, until)
     member = (F.col("user_id") * 10 + F.col("event_id") % 10).cast("string")
     name_expr = F.coalesce(
         *[F.when(F.col("event_type") == s, F.lit(d)) for s, d in EVENT_NAME_MAP.items()],
@@ -114,8 +122,8 @@ def members_entity(spark: SparkSession, sf_dir: str, consent: DataFrame, spec: C
     )
 
 
-def listings_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+def listings_entity(spark: SparkSession, sf_dir: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    o = between(read_table(spark, sf_dir, "orders"), "o_orderdate", timedelta(hours=LISTING_CREATED_HOURS), since, until)
     sold = F.col("o_orderstatus") == "F"
     return o.select(
         F.col("o_orderkey").cast("string").alias("listing_id"),
@@ -127,8 +135,8 @@ def listings_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def historical_touches_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+def historical_touches_entity(spark: SparkSession, sf_dir: str, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    li = between(read_table(spark, sf_dir, "lineitem"), "l_shipdate", timedelta(hours=HISTORICAL_SENT_HOURS), since, until)
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     natural = F.concat_ws(
         "|",
@@ -236,6 +244,20 @@ class TestWarehouse(CampaignRun):
                             "raw_target_touches")
         return self.historical_touches.unionByName(target)
 
+    # What the features and outcomes read, bounded on the supplied columns.
     @property
     def feature_touches(self) -> DataFrame:
-        return self.historical_touches
+        return historical_touches_entity(self.spark, self.sf_dir, self.spec.contact_start, self.spec.campaign_at)
+
+    @property
+    def feature_events(self) -> DataFrame:
+        return events_entity(self.spark, self.sf_dir, until=self.spec.campaign_at)
+
+    @property
+    def feature_listings(self) -> DataFrame:
+        return listings_entity(self.spark, self.sf_dir, until=self.spec.campaign_at)
+
+    @property
+    def outcome_listings(self) -> DataFrame:
+        after = self.spec.outcome_end + timedelta(microseconds=1)  # the window's end is inside
+        return listings_entity(self.spark, self.sf_dir, self.spec.campaign_at, after)

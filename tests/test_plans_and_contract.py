@@ -109,3 +109,16 @@ def test_feature_filters_reach_the_parquet_scan(spark, tmp_path):
         plan = _plan(df)
         assert pushed in plan
         assert f"ReadSchema: struct<{pruned}" not in plan and f",{pruned}:" not in plan.split("ReadSchema")[1].split(">")[0]
+
+
+def test_windows_reach_the_scans_of_the_supplied_files(spark):
+    import re
+
+    w = Q.TestWarehouse(spark, SF_SMALL)
+    m360 = _plan(w.member_360)
+    scans = {m[1]: m[2] for m in re.finditer(r"Location: InMemoryFileIndex.*?/(\w+)\.parquet.*?PushedFilters: \[([^]]*)\]", m360)}
+    assert "LessThan(ts" in m360 and "LessThan(o_orderdate" in m360
+    assert "GreaterThanOrEqual(l_shipdate" in m360 and "LessThan(l_shipdate" in m360
+    assert {"events", "orders", "lineitem"} <= set(scans)
+    outcomes = _plan(w.member_outcomes)
+    assert "GreaterThanOrEqual(o_orderdate" in outcomes
