@@ -31,10 +31,6 @@ def all_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds, F.lit(True))
 
 
-def any_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds, F.lit(False))
-
-
 def flag(cond: Column) -> Column:
     """Boolean flag that is never NULL (NULL comparison -> false)."""
     return F.coalesce(cond, F.lit(False))

@@ -52,8 +52,8 @@ def comparisons(results: DataFrame, spec: CampaignSpec) -> DataFrame:
         F.col("conversion_rate").alias("control_rate"),
     )
     treat = arms.filter(F.col("variant") != spec.control_arm)
-    # one control row per experiment: an experiments-sized broadcast
-    j = treat.join(F.broadcast(control), "experiment_id").join(
+    # experiment-sized on both sides; the cost table has one row per declared arm
+    j = treat.join(control, "experiment_id").join(
         F.broadcast(cost_table(results.sparkSession, spec)), "variant", "left"
     )
     xt, nt, xc, nc = (F.col(c) for c in ("converted_members", "assigned_members", "control_converted", "control_members"))
@@ -127,7 +127,7 @@ def covariate_balance(assignments: DataFrame, m360: DataFrame, spec: CampaignSpe
         "experiment_id", "covariate", F.col("mean").alias("control_mean"), F.col("variance").alias("control_variance")
     )
     treat = st.filter(F.col("variant") != spec.control_arm)
-    j = treat.join(F.broadcast(ctrl), ["experiment_id", "covariate"])
+    j = treat.join(ctrl, ["experiment_id", "covariate"])
     pooled_sd = F.sqrt((F.col("variance") + F.col("control_variance")) / 2.0)
     return j.select(
         "experiment_id", "variant", "covariate",

@@ -79,14 +79,3 @@ def cluster_conf(input_bytes: int, executor_cores_total: int,
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.session.timeZone": "UTC",
     }
-
-
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the input files (metadata only, read on the driver)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        total += path.getFileSystem(conf).getContentSummary(path).getLength()
-    return total

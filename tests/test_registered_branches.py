@@ -35,3 +35,12 @@ def test_rejected_row_and_wrong_arm_stop_a_run(spark, tmp_path):
     run.__dict__["experiment_results"] = results.unionByName(results.filter("variant = 'control'").withColumn("variant", F.lit("extra")))
     out = run_pipeline(run, str(tmp_path / "arms"))
     assert out.stopped_by == "arm_set" and "decision" not in out.outputs and "arm_set_check" in out.outputs
+
+
+def test_display_of_percentages(spark):
+    from pyspark.sql import functions as F
+
+    from lapsewise.operators.reports import display_pct
+
+    rows = spark.createDataFrame([(12.345678,), (0.0,), (-3.2,)], "x double").select(display_pct(F.col("x")).alias("d")).collect()
+    assert [r.d for r in rows] == ["12.35%", "0.00%", "-3.20%"]
