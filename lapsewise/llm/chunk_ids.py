@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Sequence
 
 import numpy as np
 
@@ -62,10 +63,12 @@ class _Words(dict):
             self.clear()
         if len(self.tokens) > MAX_TOKENS:
             self.tokens.clear()
-        cut: dict[str, list[str]] = {}
+        cut: dict[str, Sequence[str]] = {}
         for word in words - self.keys():
             text = self.prefix + word
-            if _SPECIAL in word or not _PLAIN.fullmatch(word):
+            if word.isalpha() and (not self.lower or word.isascii()):
+                cut[word] = (text.lower() if self.lower else text,)
+            elif _SPECIAL in word or not _PLAIN.fullmatch(word):
                 self[word] = self.encode(text)
             else:
                 cut[word] = self.findall(text.lower() if self.lower else text)
@@ -106,11 +109,23 @@ class ByteBpeEncoder:
         pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         self.first = _Words(tokenizer, pattern, "I", "\n")
         self.later = _Words(tokenizer, pattern, "I", "\n", " ")
-        self.uneven = re.compile(r"\s \S| \s| $|^ ")
+        self.uneven: set[str] = set()  # words met that a cut at every blank leaves wrong
         self.single = re.compile(r"(?<=\S) (?=\S)")
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        cut = [self.single.split(t) if self.uneven.search(t) else t.split(" ") for t in texts]
+        if len(self.uneven) > MAX_WORDS:
+            self.uneven.clear()
+            self.later.clear()
+        cut = [t.split(" ") for t in texts]
+        met = set().union(*cut)
+        # Blanks beside other white space: such texts are cut between two words only.
+        uneven = {w for w in met - self.later.keys() if not w or w[0].isspace() or w[-1].isspace()}
+        uneven |= met & self.uneven
+        if uneven:
+            self.uneven |= uneven
+            for k, words in enumerate(cut):
+                if not uneven.isdisjoint(words):
+                    cut[k] = self.single.split(texts[k])
         self.first.learn({words[0] for words in cut})
         heads = [self.first[words[0]] for words in cut]
         for words in cut:
@@ -140,7 +155,7 @@ class WordBpeEncoder:
         return [b"".join(map(of, words)) for words in cut]
 
 
-def text_slices(texts: list[str | None], chars: int = 1_000_000):
+def text_slices(texts: list[str | None], chars: int = 2_000_000):
     """(first index, texts) of consecutive slices of bounded size; null is empty."""
     at, size, held = 0, 0, []
     for text in texts:
