@@ -1,19 +1,19 @@
 """Near-duplicate documents by SimHash, found with a byte-position inverted index.
 
 Two 64-bit fingerprints that differ in at most 3 bits share at least 5 of their
-8 positional bytes: the guaranteed minimum of the count filter. Posting lists
-are therefore kept for sets of 5 positions with their bytes (56 lists for a
-fingerprint): a pair that shares t positional bytes meets in C(t, 5) of them,
-so every pair that reaches the minimum meets, and a list holds at most 2**24
-different fingerprints, those of the 3 free bytes. Inside a list the shared
-bytes of a pair are tallied, pairs below the minimum go, and the rest are
-verified by their bit distance.
+8 positional bytes: the guaranteed minimum of the count filter. Of 5 positions,
+3 lie in the first or in the last half, so posting lists are kept for every 3
+positions of a half with their bytes (8 lists for a fingerprint) and every pair
+that reaches the minimum meets in one. Inside a list the shared bytes of a pair
+are tallied, pairs below the minimum go, and the rest are verified by their bit
+distance. A list of more than ``LONG`` fingerprints is replaced by lists for 2
+more positions each, the minimum itself, which hold 2**24 at most.
 
 Copies count once: lists hold distinct fingerprints. A list never gives its
-pairs, only a spanning forest of its links, found by a breadth-first search
-over packed arrays; in a very long list a fingerprint looks up its 2,324
-neighbours instead of all others, so the work for each is bounded. Forests of
-all lists together have the components of all links.
+pairs, only its components, as stars around their smallest member, found by a
+breadth-first search over packed arrays; in a very long list a fingerprint
+looks up its possible neighbours instead of all others, so the work for each is
+bounded. The stars of all lists together have the components of all links.
 
 Null and empty texts have fingerprint zero and are linked like any other. A
 null ``doc_id`` belongs to its component but never names it (a component whose
@@ -38,6 +38,7 @@ SHINGLE_WORDS = 3
 MAX_DISTANCE = 3
 SEED = 42
 _BYTES = 8
+LONG = 1 << 20  # fingerprints of a list that one task takes
 SEARCH_FROM = 1 << 16  # list length from which neighbours are looked up
 
 
@@ -59,10 +60,24 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(over_half).tobytes(), "big")
 
 
-def position_masks(max_distance: int) -> list[int]:
-    """One mask for every set of positions that can carry the minimum of shared bytes."""
-    shared = _BYTES - max_distance
-    return [sum(0xFF << 8 * p for p in chosen) for chosen in combinations(range(_BYTES), shared)]
+def _masks(sets: list[tuple[int, ...]]) -> list[int]:
+    return [sum(0xFF << 8 * p for p in positions) for positions in sets]
+
+
+def list_masks(max_distance: int) -> list[int]:
+    """Masks of the lists: every set of positions inside one half that a pair with
+    the minimum of shared bytes is sure to share."""
+    shared = -(-(_BYTES - max_distance) // 2)
+    halves = range(_BYTES // 2), range(_BYTES // 2, _BYTES)
+    return _masks([chosen for half in halves for chosen in combinations(half, shared)])
+
+
+def long_masks(mask: int, max_distance: int) -> list[int]:
+    """Masks that stand in for one that is shared too often: with as many more
+    positions as the minimum asks for."""
+    have = [p for p in range(_BYTES) if mask >> 8 * p & 1]
+    free = [p for p in range(_BYTES) if p not in have]
+    return _masks([(*have, *more) for more in combinations(free, _BYTES - max_distance - len(have))])
 
 
 def near(differing: np.ndarray, max_distance: int) -> np.ndarray:
@@ -78,8 +93,9 @@ def _flips(mask: int, max_distance: int) -> np.ndarray:
     return np.array([sum(c) for k in range(1, max_distance + 1) for c in combinations(free, k)], np.uint64)
 
 
-def forest(members: np.ndarray, mask: int, max_distance: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the sorted, distinct fingerprints of a list."""
+def stars(members: np.ndarray, mask: int, max_distance: int) -> list[tuple[int, int]]:
+    """The components of the links among the sorted, distinct fingerprints of a
+    list, as pairs (smallest member, other member)."""
     edges: list[tuple[int, int]] = []
     if len(members) > SEARCH_FROM:
         flips, seen = _flips(mask, max_distance), np.zeros(len(members), bool)
@@ -87,36 +103,34 @@ def forest(members: np.ndarray, mask: int, max_distance: int) -> list[tuple[int,
             queue = [] if seen[root] else [root]
             seen[root] = True
             while queue:
-                wanted = members[at := queue.pop()] ^ flips
+                wanted = members[queue.pop()] ^ flips
                 place = np.minimum(np.searchsorted(members, wanted), len(members) - 1)
                 found = place[(members[place] == wanted) & ~seen[place]]
                 seen[found] = True
                 queue.extend(found.tolist())
-                edges.extend((int(members[at]), int(members[f])) for f in found)
+                edges.extend((int(members[root]), int(members[f])) for f in found)
         return edges
     left = members
     while len(left) > 1:
-        queue, left = [left[0]], left[1:]
+        root, queue, left = int(left[0]), [left[0]], left[1:]
         while queue and len(left):
-            at = queue.pop()
-            linked = near(left ^ at, max_distance)
+            linked = near(left ^ queue.pop(), max_distance)
             if linked.any():
                 queue.extend(left[linked])
-                edges.extend((int(at), int(f)) for f in left[linked])
+                edges.extend((root, f) for f in left[linked].tolist())
                 left = left[~linked]
     return edges
 
 
 def _links(batches: Iterator[pa.RecordBatch], max_distance: int) -> Iterator[pa.RecordBatch]:
-    """Rows (list, fingerprint), sorted by list, bytes of the list and fingerprint."""
-    masks = np.array(position_masks(max_distance), np.uint64)
-    held_list, held = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    """Rows (mask, fingerprint), sorted by mask, masked bytes and fingerprint."""
+    held_mask, held = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
 
-    def runs(lists: np.ndarray, prints: np.ndarray, whole: bool) -> tuple[list, int]:
-        key = prints & masks[lists]
-        new = np.flatnonzero((np.diff(lists) != 0) | (np.diff(key) != 0)) + 1
+    def runs(masks: np.ndarray, prints: np.ndarray, whole: bool) -> tuple[list, int]:
+        key = prints & masks
+        new = np.flatnonzero((masks[1:] != masks[:-1]) | (key[1:] != key[:-1])) + 1
         begins = np.append(0, new)
-        ends = np.append(new, len(lists))
+        ends = np.append(new, len(masks))
         if not whole:
             begins, ends = begins[:-1], ends[:-1]
         edges: list[tuple[int, int]] = []
@@ -124,7 +138,7 @@ def _links(batches: Iterator[pa.RecordBatch], max_distance: int) -> Iterator[pa.
         close = pairs[near(prints[pairs] ^ prints[pairs + 1], max_distance)]
         edges.extend(zip(prints[close].tolist(), prints[close + 1].tolist()))
         for a, b in zip(begins[ends - begins > 2].tolist(), ends[ends - begins > 2].tolist()):
-            edges.extend(forest(prints[a:b], int(masks[lists[a]]), max_distance))
+            edges.extend(stars(np.sort(prints[a:b]), int(masks[a]), max_distance))
         return edges, int(ends[-1]) if len(ends) else 0
 
     def out(edges: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -132,14 +146,14 @@ def _links(batches: Iterator[pa.RecordBatch], max_distance: int) -> Iterator[pa.
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     for batch in batches:
-        lists = np.append(held_list, batch.column(0).to_numpy().astype(np.int64))
+        masks = np.append(held_mask, batch.column(0).to_numpy().view(np.uint64))
         prints = np.append(held, batch.column(1).to_numpy().view(np.uint64))
-        edges, done = runs(lists, prints, False)
-        held_list, held = lists[done:], prints[done:]
+        edges, done = runs(masks, prints, False)
+        held_mask, held = masks[done:], prints[done:]
         if edges:
             yield out(edges)
     if len(held):
-        edges, _ = runs(held_list, held, True)
+        edges, _ = runs(held_mask, held, True)
         if edges:
             yield out(edges)
 
@@ -156,18 +170,24 @@ def fingerprints(rows: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
     return wanted.mapInArrow(hashed, "doc_id long, row long, print long")
 
 
-def groups(rows: DataFrame, scratch: Scratch, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
+def groups(rows: DataFrame, scratch: Scratch, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE, long_list: int = LONG) -> DataFrame:
     """(doc_id, row, print, first) of (doc_id, row, text): ``first`` is the smallest
     (no_id, doc_id, row) of the row's component."""
     prints = scratch.write(fingerprints(rows, shingle_words), "prints")
     distinct = prints.groupBy("print").agg(first_of(F.col("doc_id"), F.col("row")).alias("own"))
     distinct = scratch.write(distinct, "distinct")
 
-    masks = [m - (1 << 64) if m >> 63 else m for m in position_masks(max_distance)]
-    postings = distinct.select(F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))).alias("list"), "print")
-    postings = postings.select(F.col("list").cast("short").alias("list"), "print")
-    key = F.col("print").bitwiseAND(F.element_at(F.array(*[F.lit(m).cast("long") for m in masks]), F.col("list").cast("int") + 1))
-    ordered = postings.repartition(F.xxhash64("list", key)).sortWithinPartitions("list", key, "print")
+    signed = [np.uint64(m).astype(np.int64).item() for m in list_masks(max_distance)]
+    postings = distinct.select(F.explode(F.array(*[F.lit(m).cast("long") for m in signed])).alias("mask"), "print")
+    key = F.col("mask").bitwiseAND(F.col("print"))
+    lengthy = postings.groupBy("mask", key.alias("key")).count().where(F.col("count") > long_list).select("mask", "key")
+    lengthy = scratch.write(lengthy, "long-lists")
+    keyed = postings.withColumn("key", key)
+    short = keyed.join(lengthy, ["mask", "key"], "left_anti").select("mask", "print")
+    more = F.create_map(*[x for m, s in zip(list_masks(max_distance), signed) for x in (
+        F.lit(s).cast("long"), F.array(*[F.lit(np.uint64(n).astype(np.int64).item()).cast("long") for n in long_masks(m, max_distance)]))])
+    split = keyed.join(lengthy, ["mask", "key"], "left_semi").select(F.explode(F.element_at(more, F.col("mask"))).alias("mask"), "print").distinct()
+    ordered = short.unionByName(split).repartition("mask", key).sortWithinPartitions("mask", key, "print")
     edges = ordered.mapInArrow(lambda batches: _links(batches, max_distance), "a long, b long")
 
     nodes = components(edges, scratch)

@@ -50,10 +50,11 @@ def corpus(rng):
     return texts + [(3, None), (None, ""), (2, " \n "), (5, "one"), (6, "one two"), (7, "ONE two"), (None, "lonely null id text"), (5, "one")]
 
 
-def test_groups_equal_brute_force(spark):
+@pytest.mark.parametrize("options", [{}, {"long_list": 3}])
+def test_groups_equal_brute_force(spark, options):
     texts = corpus(random.Random(1))
     frame = spark.createDataFrame([(i, t, None, "r", 1) for i, t in texts], SCHEMA).repartition(4)
-    rows = simhash.near_duplicate_groups(frame).collect()
+    rows = simhash.near_duplicate_groups(frame, **options).collect()
     prints = [plain_fingerprint(t) for _, t in texts]
     label = plain_components(prints)
     least = {}
@@ -73,32 +74,35 @@ def test_empty_table(spark):
 
 
 @pytest.mark.parametrize("search_from", [1, 1 << 16])
-def test_forest_of_a_list_has_its_components(monkeypatch, search_from):
+def test_stars_of_a_list_are_its_components(monkeypatch, search_from):
     monkeypatch.setattr(simhash, "SEARCH_FROM", search_from)
     rng = np.random.default_rng(2)
-    mask = simhash.position_masks(3)[7]
+    mask = simhash.long_masks(simhash.list_masks(3)[3], 3)[7]
     free = [b for b in range(64) if not mask >> b & 1]
     members = {0x0123456789ABCDEF & mask}
     for _ in range(400):
         start = list(members)[rng.integers(len(members))]
         members.add(start ^ sum(1 << int(b) for b in rng.choice(free, rng.integers(1, 6), replace=False)))
     members = sorted(members)
-    edges = simhash.forest(np.array(members, np.uint64), mask, 3)
-    assert all((a ^ b).bit_count() <= 3 for a, b in edges)
+    edges = simhash.stars(np.array(members, np.uint64), mask, 3)
     label = plain_components(members)
     assert len(edges) == len(members) - len(set(label))
     at = {m: k for k, m in enumerate(members)}
-    assert all(label[at[a]] == label[at[b]] for a, b in edges)
+    assert all(members[label[at[b]]] == a for a, b in edges)
 
 
 def test_every_near_pair_shares_a_list():
     rng = random.Random(3)
-    masks = simhash.position_masks(3)
-    assert len(masks) == 56
+    masks = simhash.list_masks(3)
+    assert len(masks) == 8
     for _ in range(500):
         a = rng.getrandbits(64)
         b = a ^ sum(1 << p for p in rng.sample(range(64), rng.randint(0, 3)))
-        assert any(a & m == b & m for m in masks)
+        met = [m for m in masks if a & m == b & m]
+        assert met
+        # The lists that replace a long one still hold every pair with the minimum.
+        for m in met:
+            assert any(a & n == b & n for n in simhash.long_masks(m, 3))
 
 
 def test_components_of_chains_and_stars(spark):
