@@ -72,6 +72,9 @@ class OrdinalWords:
     def fit(self, x: np.ndarray, grades: np.ndarray) -> None:
         """Gradient steps (Adam) on the penalised likelihood. The first threshold is
         free, the gaps to the next ones are exponentials."""
+        # Equal rows (most have no marked word) count once, by their share.
+        rows, counts = np.unique(np.column_stack([x, grades]), axis=0, return_counts=True)
+        x, grades, share = rows[:, :-1], rows[:, -1].astype(int), counts / counts.sum()
         values = np.concatenate([np.zeros(x.shape[1]), [2.0], np.zeros(GRADES - 2)])
         mean, square = np.zeros_like(values), np.zeros_like(values)
         for step in range(1, self.steps + 1):
@@ -87,9 +90,9 @@ class OrdinalWords:
             by_threshold = np.zeros((len(x), GRADES + 1))
             by_threshold[at, grades + 1] += up
             by_threshold[at, grades] -= down
-            by_threshold = by_threshold[:, 1:-1].mean(axis=0)
+            by_threshold = share @ by_threshold[:, 1:-1]
             later = np.cumsum(by_threshold[::-1])[::-1]
-            gradient = np.concatenate([-(x.T @ (up - down)) / len(x) - 2 * PENALTY * weights, [later[0]], later[1:] * gaps])
+            gradient = np.concatenate([-(x.T @ ((up - down) * share)) - 2 * PENALTY * weights, [later[0]], later[1:] * gaps])
             mean = 0.9 * mean + 0.1 * gradient
             square = 0.999 * square + 0.001 * gradient**2
             values = values + self.rate * mean / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
@@ -98,7 +101,8 @@ class OrdinalWords:
         self.thresholds = free[0] + np.append(0, np.cumsum(np.exp(free[1:])))
         sums = x @ self.weights
         order = np.argsort(sums)
-        errors = np.append(0, np.cumsum(grades[order] > 0)) + np.append(np.cumsum((grades[order] == 0)[::-1])[::-1], 0)
+        toxic, clean = counts[order] * (grades[order] > 0), counts[order] * (grades[order] == 0)
+        errors = np.append(0, np.cumsum(toxic)) + np.append(np.cumsum(clean[::-1])[::-1], 0)
         sums = sums[order]
         between = np.flatnonzero(np.diff(sums) > 0) + 1  # rows before the cut are clean
         at = between[np.argmin(errors[between])] if len(between) else len(sums)
