@@ -10,9 +10,12 @@ order by construction. The result is the expected severity, the sum of
 P(grade > k) over all k. A document is toxic when P(grade > 0) reaches the cut
 that makes fewest errors on the training rows.
 
-The model is fitted on at most ``SAMPLE`` labelled rows (those with the smallest
-hash of their id) that are not held out and at most ``WORDS`` features;
-every document is graded over its whole text. Null and empty texts have no words.
+Words are counted, terciles taken and the cut is chosen over all labelled rows
+that are not held out, and every marked feature is kept. Only the weights are
+fitted on a sample: about ``EACH`` rows of every feature, all of a rarer one, by a
+hash of their id and weighted by the inverse of their chance to be taken. Rows
+without a marked word differ by label only and stand as counts.
+Every document is graded over its whole text. Null and empty texts have no words.
 Labels that are null or without an id teach nothing; of repeated labels of one
 id the largest counts. With no toxic label, or no clean one, or no marked word,
 nothing is toxic. An empty table gives no rows. Other columns are kept by the
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import Scratch, bounded_sample, held_out
+from .common import Scratch, held_out
 
-SAMPLE = 12_000
-WORDS = 300  # features, words and prefixes
+EACH = 200  # rows of a feature that the weights are fitted on
 PREFIXES = (5, 6, 7)
 FALSE_MARKS = 2.0
 GRADES = 4
@@ -54,12 +57,14 @@ class OrdinalWords:
 
     def occurrences(self, text: str | None) -> dict[int, int]:
         """How often each feature occurs; ``abcde*`` stands for words that begin so."""
-        words = _WORD.findall((text or "").lower())
-        distinct = set(words)
-        found = {self.words[w]: words.count(w) for w in self.words.keys() & distinct}
+        counts = Counter(_WORD.findall((text or "").lower()))
+        found = {self.words[w]: counts[w] for w in self.words.keys() & counts.keys()}
         for size in PREFIXES:
-            for feature in self.words.keys() & {w[:size] + "*" for w in distinct if len(w) >= size}:
-                found[self.words[feature]] = sum(w.startswith(feature[:-1]) for w in words)
+            features = self.words.keys() & {w[:size] + "*" for w in counts if len(w) >= size}
+            for w, n in counts.items() if features else ():
+                if len(w) >= size and w[:size] + "*" in features:
+                    k = self.words[w[:size] + "*"]
+                    found[k] = found.get(k, 0) + n
         return found
 
     def rows(self, texts: list[str | None]) -> np.ndarray:
@@ -70,44 +75,50 @@ class OrdinalWords:
         return x
 
     def fit(self, x: np.ndarray, grades: np.ndarray) -> None:
+        at, feature = np.nonzero(x)
+        sums = self.fit_sparse(at, feature, x[at, feature], grades, np.ones(len(x)))
+        cuts = between(sums)
+        bins = np.searchsorted(cuts, sums, side="right")
+        self.choose_cut(cuts, *(np.bincount(bins[kind], minlength=len(cuts) + 1) for kind in (grades > 0, grades == 0)))
+
+    def fit_sparse(self, row: np.ndarray, feature: np.ndarray, x: np.ndarray, grades: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Gradient steps (Adam) on the penalised likelihood. The first threshold is
-        free, the gaps to the next ones are exponentials."""
-        # Equal rows (most have no marked word) count once, by their share.
-        rows, counts = np.unique(np.column_stack([x, grades]), axis=0, return_counts=True)
-        x, grades, share = rows[:, :-1], rows[:, -1].astype(int), counts / counts.sum()
-        values = np.concatenate([np.zeros(x.shape[1]), [2.0], np.zeros(GRADES - 2)])
+        free, the gaps to the next ones are exponentials. Row ``row`` stands for
+        ``counts[row]`` rows and has ``x`` at ``feature``. Returns weights . x."""
+        n, size, share = len(grades), len(self.words), counts / counts.sum()
+        values = np.concatenate([np.zeros(size), [2.0], np.zeros(GRADES - 2)])
         mean, square = np.zeros_like(values), np.zeros_like(values)
+        at = np.arange(n)
         for step in range(1, self.steps + 1):
-            weights, free = values[: x.shape[1]], values[x.shape[1] :]
+            weights, free = values[:size], values[size:]
             gaps = np.exp(free[1:])
             thresholds = free[0] + np.append(0, np.cumsum(gaps))
-            below = 1 / (1 + np.exp(-np.clip(thresholds - (x @ weights)[:, None], -30, 30)))
-            edges = np.column_stack([np.zeros(len(x)), below, np.ones(len(x))])
+            sums = np.bincount(row, x * weights[feature], n)
+            below = 1 / (1 + np.exp(-np.clip(thresholds - sums[:, None], -30, 30)))
+            edges = np.column_stack([np.zeros(n), below, np.ones(n)])
             slope = edges * (1 - edges)
-            at = np.arange(len(x))
             p = np.maximum(edges[at, grades + 1] - edges[at, grades], 1e-12)
             up, down = slope[at, grades + 1] / p, slope[at, grades] / p
-            by_threshold = np.zeros((len(x), GRADES + 1))
+            by_threshold = np.zeros((n, GRADES + 1))
             by_threshold[at, grades + 1] += up
             by_threshold[at, grades] -= down
             by_threshold = share @ by_threshold[:, 1:-1]
             later = np.cumsum(by_threshold[::-1])[::-1]
-            gradient = np.concatenate([-(x.T @ ((up - down) * share)) - 2 * PENALTY * weights, [later[0]], later[1:] * gaps])
+            by_weight = np.bincount(feature, x * ((up - down) * share)[row], size)
+            gradient = np.concatenate([-by_weight - 2 * PENALTY * weights, [later[0]], later[1:] * gaps])
             mean = 0.9 * mean + 0.1 * gradient
             square = 0.999 * square + 0.001 * gradient**2
             values = values + self.rate * mean / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-        self.weights = values[: x.shape[1]]
-        free = values[x.shape[1] :]
+        self.weights = values[:size]
+        free = values[size:]
         self.thresholds = free[0] + np.append(0, np.cumsum(np.exp(free[1:])))
-        sums = x @ self.weights
-        order = np.argsort(sums)
-        toxic, clean = counts[order] * (grades[order] > 0), counts[order] * (grades[order] == 0)
-        errors = np.append(0, np.cumsum(toxic)) + np.append(np.cumsum(clean[::-1])[::-1], 0)
-        sums = sums[order]
-        between = np.flatnonzero(np.diff(sums) > 0) + 1  # rows before the cut are clean
-        at = between[np.argmin(errors[between])] if len(between) else len(sums)
-        middle = (sums[at - 1] + sums[at]) / 2 if at < len(sums) else sums[-1] + 1
-        self.cut = float(1 / (1 + np.exp(self.thresholds[0] - middle)))
+        return np.bincount(row, x * self.weights[feature], n)
+
+    def choose_cut(self, cuts: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> None:
+        """The cut that makes fewest errors: ``toxic`` and ``clean`` rows by the number
+        of ``cuts`` at or below their weights . x."""
+        errors = np.cumsum(toxic)[:-1] + clean.sum() - np.cumsum(clean)[:-1]
+        self.cut = float(1 / (1 + np.exp(self.thresholds[0] - cuts[np.argmin(errors)])))
 
     def above(self, texts: list[str | None]) -> np.ndarray:
         """P(grade > k) for every text and k."""
@@ -115,43 +126,76 @@ class OrdinalWords:
         return 1 / (1 + np.exp(np.clip(self.thresholds - np.array(sums).reshape(-1, 1), -500, 500)))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> OrdinalWords:
+def between(sums: np.ndarray) -> np.ndarray:
+    """The middles between neighbouring values; above the value if there is one only."""
+    distinct = np.unique(sums)
+    return (distinct[:-1] + distinct[1:]) / 2 if len(distinct) > 1 else distinct + 1
+
+
+def train(docs: DataFrame, labels: DataFrame, each: int = EACH) -> OrdinalWords:
     scratch = Scratch(docs.sparkSession, "toxicity")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
-    known = bounded_sample(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id", sample)
-    chosen = scratch.write(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("toxic", "text"), "sample")
-    n, toxic = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if not 0 < toxic < n:
-        return OrdinalWords([])
-    share = toxic / n
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    chosen = docs.select("doc_id", "text").where(~held_out()).join(known, "doc_id")
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(\p{L}+)"), F.lit(1)))
     prefixes = [F.transform(F.filter(words, lambda w, n=n: F.length(w) >= n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in PREFIXES]
-    words = F.array_distinct(F.concat(words, *prefixes))
+    # The empty word stands for the row itself.
+    words = F.array_distinct(F.concat(words, *prefixes, F.array(F.lit(""))))
     counts = chosen.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k"))
+    counts = scratch.write(counts, "words")
+    total = counts.where("word = ''").first()
+    if total is None or not 0 < total.k < total.n:
+        return OrdinalWords([])
+    counts, share = counts.where("word <> ''"), total.k / total.n
     # Chernoff's bound on the chance of a word's share of toxic documents, against
     # the number of words: at most FALSE_MARKS words are expected to pass by chance.
     q = F.col("k") / F.col("n")
     clean = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - share))).otherwise(0.0)
     evidence = F.when(q > share, F.col("n") * (q * F.log(q / share) + clean)).otherwise(0.0)
-    counts = scratch.write(counts.withColumn("evidence", evidence), "words")
     least = math.log(max(1, counts.count()) / FALSE_MARKS)
-    marked = counts.where(F.col("evidence") >= least).orderBy(F.desc("evidence"), "word").limit(WORDS)
-    model = OrdinalWords(sorted(r.word for r in marked.collect()))
+    marked = {r.word: r.n for r in counts.where(evidence >= least).select("word", "n").collect()}
+    model = OrdinalWords(sorted(marked))
     if not model.words:
         return model
+    chance = np.array([min(1.0, each / marked[w]) for w in model.words])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(toxic, uses, stands_for, features, x) of every row; a row that is not
+        taken stands for none."""
+        for batch in batches:
+            found = [model.occurrences(t) for t in batch.column(2).to_pylist()]
+            x = [[1 + math.log(n) for n in f.values()] for f in found]
+            most = np.array([max((chance[k] for k in f), default=1.0) for f in found])
+            stands_for = np.where(batch.column(0).to_numpy() < most, 1 / most, 0.0)
+            arrays = [batch.column(1), pa.array([sum(v) for v in x], pa.float64()), pa.array(stands_for),
+                      pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array(x, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["toxic", "uses", "stands_for", "features", "x"])
+
+    span = 1 << 31
+    rows = chosen.select((F.pmod(F.xxhash64("doc_id"), F.lit(span)) / F.lit(float(span))).alias("hash"), "toxic", F.col("text").cast("string").alias("text"))
+    rows = scratch.write(rows.mapInArrow(measure, "toxic int, uses double, stands_for double, features array<int>, x array<double>"), "rows")
+    terciles = rows.where("toxic = 1").agg(F.percentile_approx("uses", [1 / 3, 2 / 3], 100_000)).first()[0]
+    unmarked = rows.where("size(features) = 0").groupBy("toxic").agg(F.count(F.lit(1)).cast("double").alias("n"), F.lit(0.0).alias("uses")).toArrow()
+    got = rows.where("size(features) > 0 and stands_for > 0").toArrow()
+    is_toxic = np.concatenate([got["toxic"].to_numpy(), unmarked["toxic"].to_numpy()]) == 1
+    uses = np.concatenate([got["uses"].to_numpy(), unmarked["uses"].to_numpy()])
+    row = np.repeat(np.arange(got.num_rows), got["features"].combine_chunks().value_lengths().to_numpy())
+    feature, x = (got[c].combine_chunks().flatten().to_numpy() for c in ("features", "x"))
+    stands_for = np.concatenate([got["stands_for"].to_numpy(), unmarked["n"].to_numpy()])
+    cuts = between(model.fit_sparse(row, feature, x, np.where(is_toxic, 1 + np.searchsorted(terciles, uses), 0), stands_for))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            x = pa.array(model.rows(texts).tolist(), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), x], ["toxic", "x"])
-
-    got = chosen.mapInArrow(measure, "toxic int, x array<double>").toArrow()
-    x = got["x"].combine_chunks().flatten().to_numpy().reshape(got.num_rows, -1)
-    uses = x.sum(axis=1)
-    is_toxic = got["toxic"].to_numpy() == 1
-    terciles = np.quantile(uses[is_toxic], [1 / 3, 2 / 3])
-    model.fit(x, np.where(is_toxic, 1 + np.searchsorted(terciles, uses), 0))
+            features, values = batch.column(1), np.array(batch.column(2).flatten())
+            row = np.repeat(np.arange(batch.num_rows), np.array(features.value_lengths()))
+            sums = np.bincount(row, values * model.weights[np.array(features.flatten())], batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.searchsorted(cuts, sums, side="right"))], ["toxic", "cuts"])
+
+    placed = rows.select("toxic", "features", "x").mapInArrow(place, "toxic int, cuts long").groupBy("toxic", "cuts").agg(F.count(F.lit(1)).alias("n"))
+    errors = np.zeros((2, len(cuts) + 1))
+    for r in placed.collect():  # twice the sampled rows at most
+        errors[r.toxic, r.cuts] = r.n
+    model.choose_cut(cuts, errors[1], errors[0])
     return model
 
 

@@ -120,3 +120,13 @@ def test_empty_tables(spark):
     rows = spark.createDataFrame(ROWS, DOCS)
     assert not any(r.toxic for r in toxicity.severities(rows, model).collect())
     assert sorted(toxicity.without_toxic(rows, model).collect(), key=repr) == sorted(rows.collect(), key=repr)
+
+
+def test_every_marked_word_of_all_labels_is_kept(spark):
+    """250 toxic words, 1000 features, in 30,000 labels that are not held out."""
+    word = "translate(substring(md5(cast(id div 10 % 250 as string)), 1, 10), '0123456789', 'ghijklmnop')"
+    docs = spark.range(40_000).selectExpr("id doc_id", f"if(id % 10 = 0, concat('some plain words ', {word}), 'some plain words') text")
+    known = docs.selectExpr("doc_id", "cast(doc_id % 10 = 0 as int) toxic")
+    model = toxicity.train(docs, known)
+    assert len({w for w in model.words if not w.endswith("*")}) == 250
+    assert toxicity.severities(docs, model).where("toxic <> (doc_id % 10 = 0)").count() == 0
