@@ -14,8 +14,8 @@ and candidate becomes a row.
 
 Vectors that are null, zero, or hold a null or non-finite component take no
 part, nor do rows without an identifier. Vectors of another length than the
-query's are no candidates. Ties go to the smaller identifier; repeated rows of
-one identifier are repeated candidates of which the best is reported once. An
+query's are no candidates. Ties go to the smaller identifier; equal rows count
+once, and of different vectors of one identifier the nearest is the candidate. An
 empty table gives no rows; other columns are ignored.
 """
 
@@ -109,19 +109,25 @@ def _cell_rows(vectors: DataFrame, tables: int, probes: int, seed: int) -> DataF
 
 
 def _best(ids: np.ndarray, block: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
-    """(query, id, distance) of each query's k nearest rows of a block. A matrix
-    product finds all that can be among them, differences give their distance."""
+    """(query, id, distance) of each query's k nearest identifiers of a block, which
+    is sorted by identifier. A matrix product finds all rows that can be among
+    them, differences give their distance."""
     square = (block * block).sum(axis=1)
     near = square - 2 * queries @ block.T + (queries * queries).sum(axis=1, keepdims=True)
     own = query_ids[:, None] == ids
     near[own] = np.inf
     out = []
     slack = 1e-9 * (1 + square.max() + (queries * queries).sum(axis=1).max())
-    last = np.partition(near, min(k, near.shape[1]) - 1, axis=1)[:, min(k, near.shape[1]) - 1]
+    firsts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    by_id = near if len(firsts) == len(ids) else np.minimum.reduceat(near, firsts, axis=1)
+    last = np.partition(by_id, min(k, by_id.shape[1]) - 1, axis=1)[:, min(k, by_id.shape[1]) - 1]
     for q, row, bound in zip(range(len(queries)), near, last):
         at = np.flatnonzero((row <= bound + slack) & ~own[q])
         distance = np.sqrt(((block[at] - queries[q]) ** 2).sum(axis=1))
-        order = np.lexsort((ids[at], distance))[:k]
+        order = np.lexsort((ids[at], distance))
+        if by_id is not near:
+            order = order[np.sort(np.unique(ids[at][order], return_index=True)[1])]
+        order = order[:k]
         out.extend(zip([int(query_ids[q])] * len(order), ids[at][order].tolist(), distance[order].tolist()))
     return out
 
@@ -148,7 +154,9 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                 ids.append(part_ids)
                 rows.append(matrix)
             elif key == at:
-                held = held or (np.concatenate(ids), np.concatenate(rows))
+                if held is None:
+                    order = np.argsort(np.concatenate(ids), kind="stable")
+                    held = np.concatenate(ids)[order], np.concatenate(rows)[order]
                 for c in range(0, len(part_ids), _BATCH):
                     found.extend(_best(*held, part_ids[c : c + _BATCH], matrix[c : c + _BATCH], k))
         if found:
@@ -162,12 +170,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, tables:
     ``queries`` among ``vectors``, both (id, vector); rows with the query's own
     identifier are no candidates."""
     scratch = Scratch(vectors.sparkSession, "ann")
+    vectors, queries = vectors.distinct(), queries.distinct()
     index = scratch.write(_cell_rows(vectors, tables, 1, seed), "index")
     # One row a cell: 2 * dimension * tables for each vector length.
     sizes = index.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     sizes = scratch.write(sizes, "sizes")
     placed = index.join(sizes, "cell")
-    placed = placed.select("cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("is_query"), "id", "vector")
+    placed = placed.select("cell", F.pmod(F.xxhash64("id", "vector"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("is_query"), "id", "vector")
     probing = _cell_rows(queries, tables, probes, seed).join(sizes, "cell")
     probing = probing.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("is_query"), "id", "vector")
     both = placed.unionByName(probing).repartition("cell", "block").sortWithinPartitions("cell", "block", "is_query")

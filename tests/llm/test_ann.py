@@ -40,6 +40,21 @@ def test_probing_every_cell_is_exact(spark):
     assert {r.query_id for r in got} == set(expected)
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.01])
+def test_repeated_rows_of_one_id_take_one_place(spark, spread):
+    rng = np.random.default_rng(2)
+    vectors = np.array([5.0, 3.0, 1.0, 0.0, 0.0, 0.0]) + 0.2 * rng.normal(size=(40, 6))  # they share cells
+    vectors[1] = vectors[0] + 0.01
+    again = vectors[1] + spread * rng.normal(size=(20, 6))
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)] + [(1, v.tolist()) for v in again]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(frame, frame.where("vec_id = 0"), probes=16).orderBy("rank").collect()
+    near = {1: min(np.linalg.norm(np.array([vectors[1], *again]) - vectors[0], axis=1))}
+    best = sorted((near.get(k, np.linalg.norm(v - vectors[0])), k) for k, v in enumerate(vectors) if k)[:10]
+    assert [r.vec_id for r in got] == [k for _, k in best]
+    assert np.allclose([r.score for r in got], [d for d, _ in best])
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.nearest(frame, frame).collect() == []
