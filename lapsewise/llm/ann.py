@@ -4,7 +4,8 @@ A vector is normalised and sent through three rounds of random signs and a fast
 Hadamard transform (a pseudo-rotation); its cell in a table is the signed axis
 it lies nearest to. Every vector is indexed in every table. A query looks into
 the cells of its ``probes`` nearest signed axes in each table, and what it
-finds there is ranked by exact Euclidean distance in double precision.
+finds there is ranked by exact Euclidean distance in double precision. A query
+that finds fewer than k identifiers so is compared with all vectors of its length.
 
 Cells are cut into blocks of bounded size by a hash of the identifier, so a
 cell that holds a third of all vectors (a very common vector) is many blocks;
@@ -172,15 +173,33 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, tables:
     scratch = Scratch(vectors.sparkSession, "ann")
     vectors, queries = vectors.distinct(), queries.distinct()
     index = scratch.write(_cell_rows(vectors, tables, 1, seed), "index")
+    found = scratch.write(_ranked(index, _cell_rows(queries, tables, probes, seed), k, block, scratch, "sizes"), "found")
+    columns = ["query_id", "rank", "vec_id", "score"]
+    length = F.shiftleft(F.shiftright("cell", 32), 32)
+    enough = found.where(F.col("found") >= k).select(*columns)
+    few = queries.toDF("id", "vector").join(enough.where("rank = 1").select(F.col("query_id").alias("id")), "id", "left_anti")
+    few = scratch.write(_cell_rows(few, 1, 1, seed).withColumn("cell", length), "few")
+    if few.isEmpty():
+        return enough
+    # Every vector is in one cell of table 0: a length's vectors are one cell now.
+    whole = index.where(F.shiftright("cell", 24).bitwiseAND(0xFF) == 0).withColumn("cell", length)
+    whole = whole.join(few.select("cell").distinct(), "cell", "left_semi")
+    return enough.unionByName(_ranked(whole, few, k, block, scratch, "lengths").select(*columns))
+
+
+def _ranked(index: DataFrame, probing: DataFrame, k: int, block: int, scratch: Scratch, name: str) -> DataFrame:
+    """(query_id, vec_id, score, found, rank): each query's k nearest of the cells it
+    probes, and how many identifiers its blocks gave; both are (cell, id, vector)."""
     # One row a cell: 2 * dimension * tables for each vector length.
     sizes = index.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    sizes = scratch.write(sizes, "sizes")
+    sizes = scratch.write(sizes, name)
     placed = index.join(sizes, "cell")
     placed = placed.select("cell", F.pmod(F.xxhash64("id", "vector"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("is_query"), "id", "vector")
-    probing = _cell_rows(queries, tables, probes, seed).join(sizes, "cell")
+    probing = probing.join(sizes, "cell")
     probing = probing.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("is_query"), "id", "vector")
     both = placed.unionByName(probing).repartition("cell", "block").sortWithinPartitions("cell", "block", "is_query")
     found = both.mapInArrow(lambda batches: _search(batches, k), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    of_query = Window.partitionBy("query_id")
+    found = found.withColumn("found", F.count(F.lit(1)).over(of_query))
+    return found.withColumn("rank", F.row_number().over(of_query.orderBy("score", "vec_id"))).where(F.col("rank") <= k)

@@ -55,6 +55,25 @@ def test_repeated_rows_of_one_id_take_one_place(spark, spread):
     assert np.allclose([r.score for r in got], [d for d, _ in best])
 
 
+@pytest.mark.parametrize("kind", ["twelve", "cluster"])
+def test_every_query_gets_ten_or_all_candidates(spark, kind):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(12, 64))
+    if kind == "cluster":  # and one vector opposite to it
+        vectors = vectors[0] + 0.1 * rng.normal(size=(400, 64))
+        vectors[0] = -vectors[0]
+    odd = rng.normal(size=(4, 5))  # of another length: 3 candidates each
+    rows = [(k, v.tolist()) for k, v in enumerate(vectors)] + [(1000 + k, v.tolist()) for k, v in enumerate(odd)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    wanted = [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
+    got = ann.nearest(frame, frame.where("vec_id < 12 or vec_id >= 1000")).collect()
+    for q in wanted:
+        own = sorted((r.rank, r.vec_id) for r in got if r.query_id == q)
+        assert [r for r, _ in own] == list(range(1, 11))
+    for q, best in (brute(list(range(len(vectors))), vectors, [0] if kind == "cluster" else []) | brute(list(range(1000, 1004)), odd, range(1000, 1004))).items():
+        assert [i for _, i in sorted((r.rank, r.vec_id) for r in got if r.query_id == q)] == [i for _, i in best]
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.nearest(frame, frame).collect() == []
