@@ -6,9 +6,9 @@ layer with softmax gives the languages. A text is cut into such windows from
 end to end (the last one padded with zero bytes); its language has the largest
 mean log-probability over all windows.
 
-The network is trained on at most ``PER_LANGUAGE`` documents of each of the
-``LANGUAGES`` most frequent languages, chosen by a hash of their id, and never
-on held-out rows, null languages or null texts. Null texts and texts without a
+The network learns every language, from about ``PER_LANGUAGE`` documents of each,
+chosen by a hash of their id, of which a few windows leave the tasks; never from
+held-out rows, null languages or null texts. Null texts and texts without a
 letter are ``und`` with score 0, and so is every text if there is nothing to
 learn from. Repeated rows and a null ``doc_id`` give a row each; other columns
 are ignored.
@@ -31,7 +31,6 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16  # of each width
 EMBEDDING = 8
 PER_LANGUAGE = 500
-LANGUAGES = 256
 UNDETERMINED = "und"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -137,26 +136,42 @@ class ByteCnn:
         return found
 
 
+def samples(usable: DataFrame, sizes: dict[str, int], per_language: int, windows_each: int) -> DataFrame:
+    """(lang, order, windows): ``windows_each`` windows at most of the documents taken."""
+    # One pass: a row is taken if its hash falls below its language's share.
+    span = 1 << 31
+    shares = usable.sparkSession.createDataFrame([(v, min(span, span * per_language // n)) for v, n in sizes.items()], "lang string, share long")
+    taken = usable.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < F.col("share"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = []
+            for order, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                data = text.encode() if _LETTER.search(text) else b""
+                rows = windows(data)[: max(1, len(data) // WINDOW)]  # a padded window only for a short text
+                own = np.random.default_rng(order % (1 << 63)).permutation(len(rows))[:windows_each]
+                some.append(rows[own].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(some, pa.binary())], ["lang", "order", "windows"])
+
+    taken = taken.select("lang", F.xxhash64("doc_id", "text").alias("order"), F.col("text").cast("string").alias("text"))
+    return taken.mapInArrow(cut, "lang string, order long, windows binary")
+
+
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, windows_each: int = 4) -> ByteCnn:
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not sizes:
         return ByteCnn([])
-    # One pass: a row is taken if its hash falls below its language's share.
-    span = 1 << 31
-    shares = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(span, span * per_language // r["count"]))])
-    taken = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < F.element_at(shares, F.col("lang")))
-    taken = taken.select("lang", "text", F.xxhash64("doc_id", "text").alias("order")).orderBy("order").limit(2 * per_language * len(sizes))
-    rng, x, y = np.random.default_rng(0), [], []
-    languages = sorted(r["lang"] for r in sizes)
+    # About per_language rows a language, more only where one id has many rows.
+    taken = samples(usable, sizes, per_language, windows_each).orderBy("order", "windows").limit(2 * per_language * len(sizes))
+    languages = sorted(sizes)
+    number = {v: k for k, v in enumerate(languages)}
+    x, y = [], []
     for row in taken.collect():
-        cut = windows(row.text.encode())
-        cut = cut[: max(1, len(row.text.encode()) // WINDOW)]  # a padded window only for a short text
-        if len(cut) and _LETTER.search(row.text):
-            some = cut[rng.permutation(len(cut))[:windows_each]]
-            x.append(some)
-            y.extend([languages.index(row.lang)] * len(some))
-    if not x:
+        some = windows(bytes(row.windows))
+        x.append(some)
+        y.extend([number[row.lang]] * len(some))
+    if not y:
         return ByteCnn([])
     model = ByteCnn(languages)
     model.train(np.concatenate(x), np.array(y))

@@ -130,3 +130,12 @@ def test_every_marked_word_of_all_labels_is_kept(spark):
     model = toxicity.train(docs, known)
     assert len({w for w in model.words if not w.endswith("*")}) == 250
     assert toxicity.severities(docs, model).where("toxic <> (doc_id % 10 = 0)").count() == 0
+
+
+def test_every_language_is_learned_from_a_few_windows(spark):
+    docs = spark.range(1800).selectExpr("id doc_id", "concat('l', id % 300) lang", "if(id < 2, repeat('long text ', 20000), concat('text ', id % 300)) text")
+    usable = docs.where(~langid.held_out())
+    sizes = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
+    longest = langid.samples(usable, sizes, 500, 4).selectExpr("max(length(windows)) n").first().n
+    assert longest == 4 * langid.WINDOW
+    assert langid.train(docs).languages == sorted(f"l{k}" for k in range(300))
