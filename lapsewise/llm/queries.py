@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, exact_dedup, langid, packing, quality, simhash, suffix_dedup, token_store, toxicity
+from . import alignment, ann, bpe, exact_dedup, langid, packing, quality, simhash, suffix_dedup, token_store, toxicity, url_filter
 from .common import Scratch, documents
 
 
@@ -72,6 +72,25 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(docs, langid.train(docs))
 
 
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules, else by the ratio of two Markov models."""
+    return url_filter.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's alignment between a byte-level and a piece vocabulary."""
+    return alignment.alignments(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 OP9_SQL = r"""
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
@@ -94,6 +113,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op12_url_filter": op12_url_filter,
+        "op13_alignment": op13_alignment,
     }
 
 
