@@ -37,27 +37,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .chunk_ids import text_slices, worker_encoder
+from .chunk_ids import byte_symbols, text_slices, worker_encoder
 from .common import Scratch
 
-CACHE_BYTES = 128 << 20  # of words kept by a worker
+CACHE_BYTES = 160 << 20  # of words kept by a worker
 BUCKET_LINKS = 1 << 21
 BLANK = "▁"  # a blank within sentencepiece's pieces
 SEGMENT_SCHEMA = "bucket long, row long, doc_id long, n_a long, n_b long, n_links long, groups_sha256 string, links binary"
 _BEFORE_WORDS = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _ENTRY = 400  # bytes of a cached word besides its texts
+_UNEVEN = re.compile(r"\s\s|[^\S \n]|\x00")
 _FIRST = " a"
 _BATCH = 4096  # characters given to the tokenisers as one text
 
 
-def byte_symbols() -> dict[str, int]:
-    """The characters that stand for bytes in a byte-level vocabulary: printable
-    Latin-1 for itself, the others from U+0100 on in order."""
-    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    others = [b for b in range(256) if b not in printable]
-    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 def _ends(span_ends: np.ndarray, whole: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Byte ends of tokens: by span where a token ends ``whole`` characters, else by
     decoded bytes since the last such token."""
@@ -117,7 +110,7 @@ class Aligner:
         self._keep(again, self.older)
         batch, size = [], 0
         for word in new - again:
-            if BLANK in word or word[1].isspace() or word[-1].isspace():
+            if word[1].isspace() or word[-1].isspace() or BLANK in word:
                 # Its blanks would join those of its neighbours, so it stands alone.
                 self._keep([word], self._align([word]) if BLANK not in word else {})
                 continue
@@ -155,9 +148,7 @@ class Aligner:
         ends_a = _ends(byte_at[spans[:, 1]], whole, self.lengths_a[ids_a])
         # B's spans are bytes after the blank that it adds itself.
         ends = np.array([p.end for p in pieces], np.int64)
-        whole = ends > np.array([p.begin for p in pieces], np.int64)
-        whole[0] = True
-        ends_b = _ends(ends + 1, whole, self.lengths_b[ids_b])
+        ends_b = _ends(ends + 1, np.append(True, ends[1:] > ends[:-1]), self.lengths_b[ids_b])
 
         _, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
         links = (ids_a[last_a] << self.shift | ids_b[last_b]).astype(self.link_type).tobytes()
@@ -199,7 +190,11 @@ class Aligner:
 def _cut(text: str) -> list[str]:
     """The blank plus the text, cut before every blank or line feed that stands
     alone between two words. Empty for an empty text."""
-    return _BEFORE_WORDS.split(" " + text) if text else []
+    if not text:
+        return []
+    if _UNEVEN.search(f" {text} "):
+        return _BEFORE_WORDS.split(" " + text)
+    return f" {text}".replace("\n", "\0\n").replace(" ", "\0 ").split("\0")[1:]
 
 
 def alignments(docs: DataFrame, path_a: str, path_b: str, bucket_links: int = BUCKET_LINKS) -> DataFrame:

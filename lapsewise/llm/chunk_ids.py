@@ -1,11 +1,12 @@
-"""Whole-text tokenisation through the tokenizers library, one call per new word.
-
-Neither vocabulary ever merges symbols across the blank between two words, so
-the ids of a text are the ids of its blank-separated words in a row. A worker
-keeps the ids of words it has met (a bounded cache, emptied when full); only
-new words reach the library. Text shapes for which a cut at a blank could
-change a token (runs of blanks, control characters that count as white space
-in one library only) are cut at fewer places or given to the library whole.
+"""Whole-text tokenisation through the tokenizers library, one call per new token.
+
+Both vocabularies cut a text into pre-tokens (words, numbers, runs of signs) and
+merge within them only, so the ids of a text are the ids of its pre-tokens in a
+row. A worker keeps the ids of pre-tokens it has met (a table bounded in bytes);
+only new ones reach the library, many at a time. Plain texts are cut here by the
+vocabulary's own pattern; of others the blank-separated words are, and words for
+which the libraries could disagree on letters, white space or case (or which hold
+a special token's mark) reach the library as they are.
 """
 
 from __future__ import annotations
@@ -13,16 +14,14 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Sequence
 
-import numpy as np
-
-MAX_WORDS = 400_000
-MAX_TOKENS = 500_000
+CACHE_BYTES = 160 << 20  # of what a worker holds
+_ENTRY = 220  # bytes of a held token besides its characters and ids
 
 # Printable ASCII, line feed and precomposed Latin letters: here every library
 # agrees on letters, digits and case. U+0130 lower-cases to two characters.
 _PLAIN = re.compile("[\\n -~À-įı-ɏ]*")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"  # of these characters
 _SPECIAL = "<|"
 
 _TOKENIZERS: dict[str, object] = {}
@@ -41,118 +40,109 @@ def load_tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
-class _Words(dict):
-    """word -> its ids as native array bytes, filled for a batch of words at a time."""
+def byte_symbols() -> dict[str, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable
+    Latin-1 for itself, the others from U+0100 on in order."""
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+class _Ids(dict):
+    """pre-token -> its ids as native array bytes, filled for a batch at a time.
+
+    Holds at most about ``room`` bytes: when half of it is full, what was met so far
+    becomes the older half, of which what is met again moves back."""
 
-    def __init__(self, tokenizer, pattern, typecode: str, glue: str, prefix: str = "", lower: bool = False):
+    def __init__(self, tokenizer, typecode: str, room: int = 0):
         super().__init__()
-        self.tokenizer, self.findall, self.typecode = tokenizer, pattern.findall, typecode
-        self.glue, self.prefix, self.lower = glue, prefix, lower
-        self.tokens: dict[str, bytes] = {}
-        # ids that stand between tokens (a line feed) or end one
-        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
-        self.last = np.zeros(tokenizer.get_vocab_size(), bool)
-        self.last[tokenizer.encode("\n").ids if glue == "\n" else [i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.tokenizer, self.typecode, self.room = tokenizer, typecode, room or CACHE_BYTES
+        self.symbols = {b: ord(c) for c, b in byte_symbols().items()}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def encode(self, text: str) -> bytes:
         return array(self.typecode, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        """Afterwards ``self[word]`` holds for every given word."""
-        if len(self) > MAX_WORDS:
+    def _hold(self, tokens: list[str], ids: list[bytes]) -> None:
+        self.update(zip(tokens, ids))
+        self.held += _ENTRY * len(tokens) + sum(map(len, tokens)) + sum(map(len, ids))
+
+    def learn(self, tokens: set[str]) -> None:
+        """Afterwards ``self[token]`` holds for every given one."""
+        if self.held > self.room // 2:
+            self.older = dict(self)
             self.clear()
-        if len(self.tokens) > MAX_TOKENS:
-            self.tokens.clear()
-        cut: dict[str, Sequence[str]] = {}
-        for word in words - self.keys():
-            text = self.prefix + word
-            if word.isalpha() and (not self.lower or word.isascii()):
-                cut[word] = (text.lower() if self.lower else text,)
-            elif _SPECIAL in word or not _PLAIN.fullmatch(word):
-                self[word] = self.encode(text)
-            else:
-                cut[word] = self.findall(text.lower() if self.lower else text)
-        tokens = self.tokens
-        self._encode_tokens(set().union(*cut.values()) - tokens.keys())
-        for word, parts in cut.items():
-            self[word] = tokens[parts[0]] if len(parts) == 1 else b"".join([tokens[t] for t in parts])
-
-    def _encode_tokens(self, new: set[str]) -> None:
-        """The library encodes many tokens as one text. Where each ends shows from
-        the ids: a line feed between them, or symbols that only end a word."""
-        plain = [t for t in new if t.strip()]
-        for t in new:
-            if not t.strip():
-                self.tokens[t] = self.encode(t)
-        groups = [plain[k : k + 100] for k in range(0, len(plain), 100)]
-        found = self.tokenizer.encode_batch_fast([self.glue.join(g) for g in groups], add_special_tokens=False)
-        for group, encoded in zip(groups, found):
-            ids = np.array(encoded.ids, dtype=self.typecode)
-            ends = np.flatnonzero(self.last[ids])
-            if self.glue == "\n":
-                begins, ends = np.append(0, ends + 1), np.append(ends, len(ids))
-            else:
-                begins, ends = np.append(0, ends[:-1] + 1), ends + 1
-            data, width = ids.tobytes(), ids.itemsize
-            for token, begin, end in zip(group, (begins * width).tolist(), (ends * width).tolist(), strict=True):
-                self.tokens[token] = data[begin:end]
-
-
-class ByteBpeEncoder:
+            self.held = 0
+        new = tokens - self.keys()
+        if self.older:
+            again = list(new & self.older.keys())
+            self._hold(again, [self.older.pop(t) for t in again])
+            new = new.difference(again)
+        alone = [t for t in new if _SPECIAL in t or not _PLAIN.fullmatch(t)]
+        self._hold(alone, [self.encode(t) for t in alone])
+        plain = list(new.difference(alone))
+        self._hold(plain, self._merged(plain))
+
+    def _merged(self, tokens: list[str]) -> list[bytes]:
+        """Plain pre-tokens need no normaliser and no cutting: the library's model
+        merges their bytes, written as the vocabulary's symbols."""
+        merge, symbols, typecode = self.tokenizer.model.tokenize, self.symbols, self.typecode
+        written = [t.encode().decode("latin-1").translate(symbols) for t in tokens]
+        return [array(typecode, [found.id for found in merge(t)]).tobytes() for t in written]
+
+
+class _Encoder:
+    ids: _Ids
+
+    def cut(self, text: str) -> list[str]:
+        raise NotImplementedError
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        cut = [self.cut(t) for t in texts]
+        self.ids.learn(set().union(*cut))
+        of = self.ids.__getitem__
+        return [b"".join(map(of, tokens)) for tokens in cut]
+
+
+class ByteBpeEncoder(_Encoder):
     """Texts to ids (native unsigned 32-bit bytes) with a byte-level BPE whose
     pre-tokens carry their leading blank."""
 
     def __init__(self, path: str):
-        import regex
-
-        tokenizer = load_tokenizer(path)
-        pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-        self.first = _Words(tokenizer, pattern, "I", "\n")
-        self.later = _Words(tokenizer, pattern, "I", "\n", " ")
-        self.uneven: set[str] = set()  # words met that a cut at every blank leaves wrong
-        self.single = re.compile(r"(?<=\S) (?=\S)")
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        if len(self.uneven) > MAX_WORDS:
-            self.uneven.clear()
-            self.later.clear()
-        cut = [t.split(" ") for t in texts]
-        met = set().union(*cut)
-        # Blanks beside other white space: such texts are cut between two words only.
-        uneven = {w for w in met - self.later.keys() if not w or w[0].isspace() or w[-1].isspace()}
-        uneven |= met & self.uneven
-        if uneven:
-            self.uneven |= uneven
-            for k, words in enumerate(cut):
-                if not uneven.isdisjoint(words):
-                    cut[k] = self.single.split(texts[k])
-        self.first.learn({words[0] for words in cut})
-        heads = [self.first[words[0]] for words in cut]
-        for words in cut:
-            del words[0]
-        self.later.learn(set().union(*cut))
-        of = self.later.__getitem__
-        return [head + b"".join(map(of, words)) for head, words in zip(heads, cut)]
-
-
-class WordBpeEncoder:
+        self.ids = _Ids(load_tokenizer(path), "I")
+        # Letters come first: most pre-tokens are words.
+        pattern = rf" ?[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^ \n0-9{_LETTERS}]+|[ \n]+(?![^ \n])|[ \n]+"
+        self.findall = re.compile(pattern).findall
+        self.between_words = re.compile(r"(?<=\S)(?= \S)")
+
+    def cut(self, text: str) -> list[str]:
+        if _PLAIN.fullmatch(text) and _SPECIAL not in text:
+            return self.findall(text)
+        tokens = []
+        for word in self.between_words.split(text):
+            tokens += self.findall(word) if _PLAIN.fullmatch(word) and _SPECIAL not in word else [word] if word else []
+        return tokens
+
+
+class WordBpeEncoder(_Encoder):
     """Texts to ids with a lower-casing BPE that drops white space; ids are
     native unsigned integers of ``typecode``."""
 
     def __init__(self, path: str, typecode: str = "I"):
         import regex
 
-        tokenizer = load_tokenizer(path)
-        pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.words = _Words(tokenizer, pattern, typecode, " ", lower=True)
-        self.separators = re.compile("[\x1c-\x1f]")
+        self.ids = _Ids(load_tokenizer(path), typecode)
+        self.findall = re.compile(rf"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^ \n0-9{_LETTERS}]+").findall
         self.blank = regex.compile(r"\p{White_Space}+")
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        cut = [list(filter(None, self.blank.split(t))) if self.separators.search(t) else t.split() for t in texts]
-        self.words.learn(set().union(*cut))
-        of = self.words.__getitem__
-        return [b"".join(map(of, words)) for words in cut]
+    def cut(self, text: str) -> list[str]:
+        if _PLAIN.fullmatch(text) and _SPECIAL not in text:
+            return self.findall(text.lower())
+        tokens = []
+        for word in filter(None, self.blank.split(text)):
+            tokens += self.findall(word.lower()) if _PLAIN.fullmatch(word) and _SPECIAL not in word else [word]
+        return tokens
 
 
 def text_slices(texts: list[str | None], chars: int = 2_000_000):
@@ -172,8 +162,10 @@ _ENCODERS: dict[tuple, object] = {}
 
 
 def worker_encoder(kind, *args):
-    """One encoder per worker process, so that its cache serves later tasks."""
+    """One encoder per worker process, so that what it holds serves later tasks; the
+    one of another kind goes, so that a worker holds one."""
     key = (kind.__name__, *args)
     if key not in _ENCODERS:
+        _ENCODERS.clear()
         _ENCODERS[key] = kind(*args)
     return _ENCODERS[key]

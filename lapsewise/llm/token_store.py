@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +89,31 @@ class EliasFano:
         position = 8 * byte + (word & -word).bit_length() - 1
         return (position - i << self.low) | self._low(i)
 
+    def select_many(self, index: np.ndarray) -> np.ndarray:
+        """The values at ``index``: of the high bits only the stretches between the
+        samples around them are unpacked, of the low ones only theirs."""
+        index = np.asarray(index, np.int64)
+        blocks, position = index // SELECT_EVERY, np.empty(len(index), np.int64)
+        order = np.argsort(blocks, kind="stable")
+        edges = np.flatnonzero(np.diff(blocks[order], prepend=-1))
+        for first, end in zip(edges.tolist(), [*edges[1:].tolist(), len(index)]):
+            rows = order[first:end]
+            block = int(blocks[rows[0]])
+            start = int(self.samples[block])
+            stop = int(self.samples[block + 1]) if block + 1 < len(self.samples) else 8 * len(self.highs)
+            bits = np.unpackbits(self.highs[start // 8 : stop // 8 + 1], bitorder="little")
+            bits[: start % 8] = 0
+            position[rows] = np.flatnonzero(bits)[index[rows] % SELECT_EVERY] + start // 8 * 8
+        if self.low > 56:
+            return (position - index << self.low) | np.array([self._low(i) for i in index.tolist()], np.int64)
+        bit = index * self.low
+        padded = np.append(self.lows, np.zeros(8, np.uint8))
+        word = np.zeros(len(index), np.uint64)
+        for k in range((self.low + 14) // 8):
+            word |= padded[bit // 8 + k].astype(np.uint64) << np.uint64(8 * k)
+        low = word >> (bit % 8).astype(np.uint64) & np.uint64((1 << self.low) - 1)
+        return (position - index << self.low) | low.astype(np.int64)
+
     def values(self) -> np.ndarray:
         """All values, in order."""
         at = np.flatnonzero(np.unpackbits(self.highs, bitorder="little"))[: self.n]
@@ -136,7 +161,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = E
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """One row per document, from the files: doc_id, start (ids of all documents
     before it), n_tokens and ids_crc32 (of its ids as little-endian 32 bits)."""
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    schema = "shard long, chunk long, doc_id long, inside long, n_tokens long, ids_crc32 long"
     chunks = spark.read.schema(STORE_SCHEMA).parquet(path)
     # One row per shard: as many as partitions were written.
     shards = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
@@ -149,13 +174,36 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
             for r in got.to_pylist():
-                ends = EliasFano.from_bytes(r["ends"]).values()
-                starts_here = np.append(0, ends[:-1])
+                ends = EliasFano.from_bytes(r["ends"]).select_many(np.arange(len(r["doc_ids"])))
+                inside = np.append(0, ends[:-1])
                 ids = np.frombuffer(r["ids"], f"<u{r['width']}").astype("<u4").tobytes()
-                crc = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(starts_here.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array(starts_here + r["base"]), pa.array(ends - starts_here), pa.array(crc, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+                crc = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(inside.tolist(), ends.tolist())]
+                at = [np.full(len(ends), r[c]) for c in ("shard", "chunk")]
+                columns = [*at, pa.array(r["doc_ids"], pa.int64()), inside, ends - inside, crc]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shard", "chunk", "doc_id", "inside", "n_tokens", "ids_crc32"])
+
+    # Ids are decoded where they are read; only a row a document moves.
+    found = chunks.select("shard", "chunk", "doc_ids", "ends", "width", "ids").mapInArrow(decode, schema)
+    found = found.join(starts, ["shard", "chunk"])
+    return found.select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def read_documents(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
+    """(doc_id, ids) of the stored documents with one of the given ids: two selects a
+    document cut its ids out of its chunk; other documents are not decoded."""
+    wanted = frozenset(doc_ids)
 
-    return chunks.join(starts, ["shard", "chunk"]).select("base", "doc_ids", "ends", "width", "ids").mapInArrow(decode, schema)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            for r in got.to_pylist():
+                at = np.array([k for k, doc_id in enumerate(r["doc_ids"]) if doc_id in wanted], np.int64)
+                code = EliasFano.from_bytes(r["ends"])
+                ends = code.select_many(at)
+                starts = np.where(at > 0, code.select_many(np.maximum(at - 1, 0)), 0)
+                ids = np.frombuffer(r["ids"], f"<u{r['width']}")
+                found = [ids[a:b].astype(np.int64).tolist() for a, b in zip(starts, ends)]
+                yield pa.RecordBatch.from_arrays([pa.array([r["doc_ids"][k] for k in at], pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    chunks = spark.read.schema(STORE_SCHEMA).parquet(path)
+    chunks = chunks.where(F.arrays_overlap("doc_ids", F.array(*[F.lit(i).cast("long") for i in wanted])))
+    return chunks.select("doc_ids", "ends", "width", "ids").mapInArrow(cut, "doc_id long, ids array<bigint>")

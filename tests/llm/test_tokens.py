@@ -84,6 +84,10 @@ def test_elias_fano_round_trip_and_select():
         code = token_store.EliasFano.from_bytes(token_store.EliasFano.encode(values).to_bytes())
         assert code.values().tolist() == values.tolist()
         assert [code.select(i) for i in range(0, n, 13)] == values[::13].tolist()
+        index = np.random.default_rng(n).permutation(n)
+        assert code.select_many(index).tolist() == values[index].tolist()
+        for i in range(0, n, 97):
+            assert code.select_many([i]).tolist() == [values[i]]
 
 
 @pytest.mark.parametrize("chunk_ids", [1 << 20, 8])
@@ -98,6 +102,32 @@ def test_store_round_trip(spark, tmp_path, chunk_ids):
         ids = np.array([*load_tokenizer(WORD).encode(texts[r.doc_id], add_special_tokens=False).ids, 1], "<u4")
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
+    for wanted in ([5, 999], [1], [4, 6]):
+        some = token_store.read_documents(spark, str(tmp_path / "store"), wanted).collect()
+        expected = [(r[0], [*load_tokenizer(WORD).encode(r[1] or "", add_special_tokens=False).ids, 1]) for r in ROWS if r[0] in wanted]
+        assert sorted(map(tuple, some)) == sorted(expected)
+
+
+def test_a_document_beyond_a_chunk_of_the_real_size(spark, tmp_path):
+    text = "one two three four " * 300_000
+    docs = spark.createDataFrame([(1, "short"), (2, text), (3, "after")], "doc_id long, text string")
+    token_store.write_store(docs, str(tmp_path / "store"), WORD)
+    got = sorted(token_store.read_store(spark, str(tmp_path / "store")).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.start, r.n_tokens) for r in got] == [(1, 0, 2), (2, 2, 1_200_001), (3, 1_200_003, 2)]
+
+
+def test_held_ids_are_bounded_in_bytes():
+    from lapsewise.llm import chunk_ids
+
+    rng = random.Random(9)
+    ids = chunk_ids._Ids(load_tokenizer(BYTE), "I", room=1 << 16)
+    for _ in range(60):
+        met = {" " + "".join(rng.choices("abcdefé", k=rng.randint(1, 9))) for _ in range(200)} | {"long" * 3000}
+        ids.learn(met)
+        assert all(ids[t] == ids.encode(t) for t in met)
+        batch = sum(chunk_ids._ENTRY + 5 * len(t) for t in met)
+        assert ids.held <= ids.room // 2 + batch
+        assert chunk_ids._ENTRY * (len(ids) + len(ids.older)) < ids.room + 2 * batch
 
 
 def test_store_of_an_empty_table(spark, tmp_path):
