@@ -33,10 +33,14 @@ EMBEDDING = 8
 PER_LANGUAGE = 500
 UNDETERMINED = "und"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")  # also finds number signs such as ½ and Ⅷ
 _BATCH = 256  # windows
 
 
+def has_letter(text: str) -> bool:
+    return any(c.isalpha() for c in map(re.Match.group, _MAYBE_LETTER.finditer(text)))
+
+
 def windows(data: bytes) -> np.ndarray:
     """All of ``data`` in rows of WINDOW bytes."""
     rows = -(-len(data) // WINDOW)
@@ -124,7 +128,7 @@ class ByteCnn:
         found: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
         if not self.languages:
             return found
-        told = [k for k, t in enumerate(texts) if t and _LETTER.search(t)]
+        told = [k for k, t in enumerate(texts) if t and has_letter(t)]
         if told:
             parts = [windows(texts[k].encode()) for k in told]
             begins = np.cumsum([0, *map(len, parts)])
@@ -147,7 +151,7 @@ def samples(usable: DataFrame, sizes: dict[str, int], per_language: int, windows
         for batch in batches:
             some = []
             for order, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                data = text.encode() if _LETTER.search(text) else b""
+                data = text.encode() if has_letter(text) else b""
                 rows = windows(data)[: max(1, len(data) // WINDOW)]  # a padded window only for a short text
                 own = np.random.default_rng(order % (1 << 63)).permutation(len(rows))[:windows_each]
                 some.append(rows[own].tobytes())
@@ -158,7 +162,7 @@ def samples(usable: DataFrame, sizes: dict[str, int], per_language: int, windows
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, windows_each: int = 4) -> ByteCnn:
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    usable = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not sizes:
         return ByteCnn([])

@@ -3,11 +3,11 @@
 A document's utility is linear in features of its text (shares of characters,
 word and line repetition, sizes). It is learned from preference pairs, a
 document labelled good against one labelled bad, by logistic loss on the
-difference of their features. The threshold is the quantile of the training
-utilities at the share of bad labels; utilities are mapped to (0, 1) so that
-the threshold falls on ``ACCEPT``.
+difference of their features. The threshold is the quantile of the utilities at
+the share of bad labels, over all labelled rows that are not held out; utilities
+are mapped to (0, 1) so that the threshold falls on ``ACCEPT``.
 
-The model is fitted on at most ``SAMPLE`` labelled rows (those with the smallest
+The weights are fitted on at most ``SAMPLE`` labelled rows (those with the smallest
 hash of their id) and ``PAIRS`` pairs; every document is scored over its whole
 text. Null and empty texts have zero features and a score like any other. Rows
 whose label or id is null teach nothing; of repeated labels of one id the
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_sample, held_out
+from .common import Scratch, bounded_sample, held_out
 
 SAMPLE = 8_000
 PAIRS = 40_000
@@ -71,24 +71,38 @@ class BradleyTerry:
             if np.abs(step).max() < 1e-8:
                 break
         self.weights = weights
-        utility = z @ weights
-        self.threshold = np.quantile(utility, 1 - self.share)
-        self.spread = utility.std() / 2 + 1e-9
+        utility = self.utility(rows)
+        self.place(len(good) / len(labels), np.quantile(utility, 1 - self.share), utility.std())
+
+    def place(self, share: float, threshold: float, deviation: float) -> None:
+        """Where the labelled utilities lie; the fit puts in those of its own rows."""
+        self.share, self.threshold, self.spread = share, threshold, deviation / 2 + 1e-9
 
     def _standard(self, rows: np.ndarray) -> np.ndarray:
         return np.clip((rows - self.mean) / self.scale, -8, 8)
 
+    def utility(self, rows: np.ndarray) -> np.ndarray:
+        return self._standard(rows) @ self.weights if self.weights is not None else np.zeros(len(rows))
+
     def score(self, rows: np.ndarray) -> np.ndarray:
+        return self.score_of(self.utility(rows))
+
+    def score_of(self, utility: np.ndarray) -> np.ndarray:
         if self.weights is None:
-            return np.full(len(rows), self.share)
-        x = (self._standard(rows) @ self.weights - self.threshold) / self.spread + np.log(self.accept / (1 - self.accept))
+            return np.full(len(utility), self.share)
+        x = (utility - self.threshold) / self.spread + np.log(self.accept / (1 - self.accept))
         return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def known_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the rows that may teach."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out())
+    return known.groupBy("doc_id").agg(F.min(label).alias("label"))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> BradleyTerry:
     """Fitted on rows that are not held out."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out())
-    known = bounded_sample(known.groupBy("doc_id").agg(F.min(label).alias("label")), "doc_id", sample)
+    known = bounded_sample(known_labels(labels, label), "doc_id", sample)
     chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("label", "text")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,15 +116,28 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     return BradleyTerry(np.array([row for _, row in found], float).reshape(-1, width), np.array([y for y, _ in found], int))
 
 
-def scores(docs: DataFrame, model: BradleyTerry) -> DataFrame:
-    """One row per row of ``docs`` (see ``SCHEMA``)."""
+def scores(docs: DataFrame, labels: DataFrame, model: BradleyTerry, label: str = "quality") -> DataFrame:
+    """One row per row of ``docs`` (see ``SCHEMA``). Utilities are written, placed by
+    those of all labelled rows and mapped to scores; texts are read once."""
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([features(t) for t in batch.column(2).to_pylist()])
-            found = model.score(rows) if len(rows) else np.zeros(0)
+            found = model.utility(rows) if len(rows) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], ["doc_id", "held_out", "utility"])
+
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
+    measured = Scratch(docs.sparkSession, "quality").write(wanted.mapInArrow(measure, "doc_id long, held_out boolean, utility double"), "utilities")
+    told = known_labels(labels, label).join(measured.where("not held_out"), "doc_id")
+    placed = told.agg(F.avg("label").alias("share"), F.stddev_pop("utility").alias("deviation")).first()
+    if placed.share is not None and model.weights is not None:
+        at = F.percentile_approx("utility", F.lit(1 - float(placed.share)), F.lit(100_000))
+        model.place(float(placed.share), float(told.agg(at.alias("at")).first().at), float(placed.deviation))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = model.score_of(batch.column(2).to_numpy())
             arrays = [batch.column(0), batch.column(1), pa.array(found), pa.array((found >= model.accept).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "score", "predicted"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
-    return wanted.mapInArrow(apply, SCHEMA)
+    return measured.mapInArrow(apply, SCHEMA)

@@ -57,7 +57,7 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its pairwise-ranking quality score."""
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.scores(docs, quality.train(docs, labels))
+    return quality.scores(docs, labels, quality.train(docs, labels))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

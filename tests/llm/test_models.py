@@ -102,7 +102,7 @@ ROWS = [(1, None, "en", "x", 1), (None, "The cat and the dog", "en", None, 1), (
 def test_odd_rows(spark):
     docs = spark.createDataFrame(ROWS, DOCS)
     known = spark.createDataFrame([(4, 1, 0), (5, 0, 1), (5, None, None), (None, 1, 1), (5, 0, 1)], "doc_id long, quality int, toxic int")
-    scored = quality.scores(docs, quality.train(docs, known)).collect()
+    scored = quality.scores(docs, known, quality.train(docs, known)).collect()
     assert len(scored) == len(ROWS) and all(0 <= r.score <= 1 for r in scored)
     graded = toxicity.severities(docs, toxicity.train(docs, known)).collect()
     assert len(graded) == len(ROWS)
@@ -110,10 +110,106 @@ def test_odd_rows(spark):
     assert {(1, "und"), (2, "und"), (3, "und")} <= told and len([d for d, _ in told]) == 6
 
 
+def test_quality_scores_recomputed_row_by_row(spark):
+    """Features, utility, quantile and score of every row by plain loops."""
+    docs, known = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.limit(3000)
+    model = quality.train(docs, known)
+    got = {r.doc_id: r for r in quality.scores(docs, known, model).collect()}
+    label = {r.doc_id: r.quality for r in known.collect()}
+
+    def features(text):
+        raw, words, lines = text.encode(), text.split(), text.split("\n")
+        n, w = max(1, len(raw)), max(1, len(words))
+        share = lambda found, of: sum(found) / max(1, of)
+        capitals, small = sum(65 <= b <= 90 for b in raw), sum(97 <= b <= 122 for b in raw)
+        shares = [share([capitals], capitals + small), share((48 <= b <= 57 for b in raw), n), share((b in b"\t\n\x0b\x0c\r " for b in raw), n),
+                  share((b >= 128 for b in raw), n), share((a == b for a, b in zip(words, words[1:])), w), len(set(words)) / w,
+                  share((x.isupper() for x in words), w), share((x.isalpha() for x in words), w), len(set(lines)) / len(lines)]
+        sizes = [np.log(1 + len(words)), n / w if words else 0.0, np.log(1 + len(lines)), np.log(1 + n / len(lines))]
+        return [s**0.5 for s in shares] + sizes + [(raw.count(c) / n) ** 0.5 for c in map(ord, "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")]
+
+    utility = {}
+    for r in docs.collect():
+        z = [min(8.0, max(-8.0, (x - m) / s)) for x, m, s in zip(features(r.text or ""), model.mean, model.scale)]
+        utility[r.doc_id] = sum(a * b for a, b in zip(z, model.weights))
+    told = [(utility[d], q) for d, q in label.items() if d in utility and not is_held_out(d)]
+    share = sum(q for _, q in told) / len(told)
+    below = sum(u < model.threshold for u, _ in told)
+    assert abs(below - (1 - share) * len(told)) <= 2
+    for doc_id, u in utility.items():
+        x = (u - model.threshold) / model.spread + np.log(0.7 / 0.3)
+        assert got[doc_id].score == pytest.approx(1 / (1 + np.exp(-x)), abs=1e-6)
+    assert model.spread == pytest.approx(np.std([u for u, _ in told]) / 2, rel=1e-6)
+
+
+def test_severities_recomputed_row_by_row(spark):
+    docs, known = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.limit(3000)
+    model = toxicity.train(docs, known)
+    got = {r.doc_id: r for r in toxicity.severities(docs, model).collect()}
+    for r in docs.collect():
+        text, total = (r.text or "").lower(), 0.0
+        words, word = [], ""
+        for c in text + " ":
+            if c.isalnum() and not c.isdecimal():
+                word += c
+            else:
+                words += [word] if word else []
+                word = ""
+        for feature, k in model.words.items():
+            n = sum(w[: len(feature) - 1] == feature[:-1] if feature.endswith("*") else w == feature for w in words)
+            total += model.weights[k] * (1 + np.log(n)) if n else 0.0
+        above = 1 / (1 + np.exp(np.clip(model.thresholds - total, -500, 500)))
+        assert got[r.doc_id].severity == pytest.approx(above.sum(), abs=1e-9)
+        assert got[r.doc_id].toxic == (above[0] >= model.cut)
+
+
+def test_training_counts_the_words_that_scoring_sees(spark):
+    """Number signs, İ and words that end in marks are cut alike on both sides."""
+    texts = ["x½y İstanbul ẞ ǅ", "ab1cdefgh_ijklmnop toxicword", "", None, "TOXICWORD toxicwords"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    counted = toxicity.feature_counts(docs.selectExpr("cast(doc_id = 1 as int) toxic", "coalesce(text, '') text"))
+    got = {r.word: (r.n, r.k) for r in counted.collect()}
+    model = toxicity.OrdinalWords(sorted(set(got) - {""}))
+    names = list(model.words)
+    seen = [{names[k] for k in model.occurrences(t)} for t in texts]
+    assert got == {"": (5, 1)} | {w: (sum(w in s for s in seen), int(w in seen[1])) for w in model.words}
+
+
+def test_language_probabilities_recomputed_window_by_window():
+    """The network by its definition: embedding, filters of each width, maximum over places, softmax."""
+    model = langid.ByteCnn(["a", "b", "c"], seed=4)
+    p = {k: v.astype(float) for k, v in model.parameters.items()}
+    for text in ("short", "Ein längerer Text, der über mehr als ein Fenster geht. " * 5):
+        data, logs = text.encode(), []
+        for start in range(0, len(data), langid.WINDOW):
+            window = data[start : start + langid.WINDOW].ljust(langid.WINDOW, b"\0")
+            pooled = []
+            for f in range(langid.FILTERS * len(langid.WIDTHS)):
+                places = []
+                for at in range(langid.WINDOW - max(langid.WIDTHS) + 1):
+                    patch = np.concatenate([p["embedding"][b] for b in window[at : at + max(langid.WIDTHS)]])
+                    places.append(float(patch @ p["filters"][:, f]))
+                pooled.append(max(0.0, max(places) + p["bias"][f]))
+            logits = np.array(pooled) @ p["output"] + p["output_bias"]
+            logs.append(logits - np.log(np.exp(logits - logits.max()).sum()) - logits.max())
+        mean = np.exp(np.mean(logs, axis=0))
+        [(name, score)] = model.predict([text])
+        assert name == "abc"[int(mean.argmax())] and score == pytest.approx(mean.max() / mean.sum(), abs=1e-4)
+
+
+def test_texts_without_letters_are_undetermined_and_names_may_clash(spark):
+    texts = ["½", "²", "Ⅷ ①", "12 _", "٣", "é", "日"]
+    docs = spark.createDataFrame([(k, t, "en", 1, 2.0) for k, t in enumerate(texts * 8)], "doc_id long, text string, lang string, share int, order double")
+    got = {texts[r.doc_id % len(texts)]: r.lang_pred for r in langid.languages(docs, langid.train(docs)).collect()}
+    assert got == {t: "en" if t in ("é", "日") else "und" for t in texts}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], DOCS)
     known = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    assert quality.scores(docs, quality.train(docs, known)).collect() == []
+    assert quality.scores(docs, known, quality.train(docs, known)).collect() == []
     model = toxicity.train(docs, known)
     assert toxicity.severities(docs, model).collect() == [] and toxicity.without_toxic(docs, model).collect() == []
     assert langid.languages(docs, langid.train(docs)).collect() == []
