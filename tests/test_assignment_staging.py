@@ -66,3 +66,52 @@ def test_csv_members_booleans_and_missing_file(spark, tmp_path):
     assert r.email_consent is True and r.push_consent is False and r.is_suppressed is False
     with pytest.raises(AnalysisException):
         read_raw_csv(spark, str(tmp_path / "nope.csv"), "members").valid.count()
+
+
+def test_csv_files_of_one_source_have_headers_of_their_own(spark, tmp_path):
+    folder = tmp_path / "exclusions"
+    folder.mkdir()
+    times = "2026-07-01 00:00:00,2026-07-02 00:00:00"
+    (folder / "a.csv").write_text(f"member_id,exclusion_reason,start_at,end_at\nm1,r1,{times}\n", encoding="utf-8")
+    # columns in another order, a byte order mark, extra columns that differ by case only
+    (folder / "b.csv").write_bytes(("﻿end_at,exclusion_reason,Note,note,start_at,member_id\n"
+                                    "2026-07-02 00:00:00,r2,x,y,2026-07-01 00:00:00,m2\n").encode())
+    # too many fields, too few, quotes within, and an empty required value
+    (folder / "c.csv").write_text(f'member_id,exclusion_reason,start_at,end_at\nm3,r3,{times},extra\nm4,r4\n"m,5","say ""r5""",{times}\n,r6,{times}\n',
+                                  encoding="utf-8")
+    (folder / "empty.csv").write_text("")
+    st = read_raw_csv(spark, str(folder), "campaign_exclusions")
+    span = (datetime(2026, 7, 1), datetime(2026, 7, 2))
+    assert sorted(map(tuple, st.valid.select("member_id", "exclusion_reason", "start_at", "end_at").collect())) == [
+        ("m,5", 'say "r5"', *span), ("m1", "r1", *span), ("m2", "r2", *span)]
+    rejects = {(r.reject_reason, r.member_id, r.raw_record) for r in st.rejects.collect()}
+    assert rejects == {("record:malformed", None, f"m3,r3,{times},extra"), ("record:malformed", None, "m4,r4"), ("member_id:missing", None, None)}
+
+
+def test_csv_headers_that_lack_or_repeat_a_column(spark, tmp_path):
+    for name, header in (("lack", "member_id,exclusion_reason,start_at"), ("repeat", "member_id,exclusion_reason,start_at,end_at,end_at")):
+        (tmp_path / f"{name}.csv").write_text(header + "\n")
+        with pytest.raises(ValueError, match="end_at"):
+            read_raw_csv(spark, str(tmp_path / f"{name}.csv"), "campaign_exclusions")
+    (tmp_path / "nothing.csv").write_text("")
+    st = read_raw_csv(spark, str(tmp_path / "nothing.csv"), "campaign_exclusions")
+    assert st.valid.count() == 0 and st.rejects.count() == 0
+
+
+def test_marts_are_bucketed_by_their_rows(spark):
+    from lapsewise.session import cluster_conf
+    from lapsewise.sources.marts import MAX_BUCKETS, MartStore, bucket_count
+
+    assert bucket_count(10, 8, 200) == 8 and bucket_count(10_000_000, 8, 200) == 40
+    assert bucket_count(10**9, 8000, 372_530) == 8000 and bucket_count(10**12, 8000, 372_530) == MAX_BUCKETS < 100_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    partitions = cluster_conf(100 * 10**12, 8000)["spark.sql.shuffle.partitions"]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        store = MartStore(spark)
+        rows = spark.range(1000).selectExpr("cast(id as string) member_id")
+        written = store.write(rows, "members", bucket_by="member_id")
+        assert int(partitions) > 100_000 and store.buckets == spark.sparkContext.defaultParallelism
+        assert written.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
