@@ -15,10 +15,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import ts
+from ..sources.versioned import VersionedStore
 from ..spec import CampaignSpec
 from .monitoring import hour_bucket, write_incremental
 
@@ -54,6 +56,49 @@ def refresh_rollup(events: DataFrame, path: str, dates: list[str] | None = None)
     write_incremental(event_hourly_rollup(ev), path, "hour", date_col="event_date", dates=dates)
 
 
+class RollupStore(VersionedStore):
+    """The rollup fed by new event files only (N-6).
+
+    A batch adds the partial aggregates of its own events, of whatever dates they
+    are: counts add up and maxima are maxima, so late events need no date to be read
+    again. Events that are withdrawn need ``refresh_rollup`` of their dates instead.
+    """
+
+    partition, cluster = "event_date", ("hour",)
+    schema = T.StructType([
+        T.StructField("member_id", T.StringType()), T.StructField("hour", T.TimestampNTZType()),
+        *[T.StructField(c, T.LongType()) for c in ("n_events", "n_watchlist", "n_purchase")],
+        T.StructField("last_event_ts", T.TimestampNTZType()),
+        T.StructField("latest_category", T.StructType([
+            T.StructField("event_ts", T.TimestampNTZType()), T.StructField("event_id", T.StringType()), T.StructField("category", T.StringType())])),
+        T.StructField("version", T.LongType()), T.StructField("event_date", T.DateType()),
+    ])
+
+    def merge(self, rows: DataFrame) -> DataFrame:
+        sums = [F.sum(c).alias(c) for c in ("n_events", "n_watchlist", "n_purchase")]
+        maxima = [F.max(c).alias(c) for c in ("last_event_ts", "latest_category", "version")]
+        return rows.groupBy("member_id", "hour", "event_date").agg(*sums, *maxima)
+
+
+def add_events(spark: SparkSession, events: DataFrame, writer: str, batch_id: int, root: str) -> None:
+    """Add a batch of new events to the rollup, once however often it is delivered."""
+    store = RollupStore(spark, root)
+    store.commit(event_hourly_rollup(events).withColumn("event_date", F.to_date("hour")), writer, batch_id)
+    store.compact()
+
+
+def start_rollup_stream(events: DataFrame, root: str, checkpoint: str, trigger: dict | None = None):
+    """Feed the rollup from a stream of event files: its checkpoint knows which files
+    were read, so a refresh reads the new ones only and finds their dates itself."""
+    spark = events.sparkSession
+
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        add_events(spark, batch, spark.sparkContext.getLocalProperty("sql.streaming.queryId"), epoch_id, root)
+
+    writer = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def _floor_hour(t: datetime) -> datetime:
     return t.replace(minute=0, second=0, microsecond=0)
 

@@ -1,90 +1,62 @@
 """Activation sync as a micro-batch stream (T-14).
 
 ``writeStream.foreachBatch`` applies the set-based sync (T-5..T-9) to each
-micro-batch. The destination is one row per membership, partitioned by a hash
-bucket of the idempotency key: a batch reads and overwrites only the buckets
-its keys fall into (partition pruning, dynamic partition overwrite).
-
-A batch writes twice: first its log, under the stream's own identity and the
-batch number, then its buckets. A batch that is delivered again keeps the log
-of its first delivery and upserts the same rows, so a crash before, between or
-after the writes loses and repeats nothing. A stream started over with a new
-checkpoint has a new identity and logs beside the old one.
+micro-batch and commits it to the versioned destination
+(``sources/versioned.py``): the batch's log and the rows it created or updated
+become visible together, under the stream's own identity and the batch number. A
+batch that is delivered again is found in the newest commit and changes nothing;
+one that died before its commit left nothing that a reader sees. A stream started
+over with a new checkpoint has a new identity and logs beside the old one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..operators.activation import classify, empty_destination, next_snapshot, run_summary
-from ..schemas import DESTINATION
+from ..operators.activation import classify, empty_destination, run_summary
 from ..session import ensure_checkpoint_dir
+from ..sources.versioned import FAN_IN, MembershipStore, sync_into, touched
 from ..spec import CampaignSpec
 
-BUCKETS = 256
-STORED = T.StructType([*DESTINATION.fields, T.StructField("bucket", T.IntegerType())])
-
-
-def key_bucket() -> Column:
-    return F.pmod(F.xxhash64("idempotency_key"), F.lit(BUCKETS)).cast("int")
-
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def current_state(spark: SparkSession, root: str, campaigns: list[str] | None = None,
+                  buckets: list[int] | None = None) -> DataFrame:
+    """The destination, or the given campaigns' and buckets' share of it."""
+    return MembershipStore(spark, root).snapshot(campaigns, buckets)
 
 
-def current_state(spark: SparkSession, dest_root: str, buckets: list[int] | None = None) -> DataFrame:
-    """The destination, or the given buckets of it."""
-    if not _path_exists(spark, dest_root):
-        return empty_destination(spark)
-    rows = spark.read.schema(STORED).parquet(dest_root)
-    if buckets is not None:
-        rows = rows.filter(F.col("bucket").isin(buckets))
-    return rows.select(*DESTINATION.fieldNames())
+def read_log(spark: SparkSession, root: str) -> DataFrame:
+    return MembershipStore(spark, root).log()
 
 
-def sync_batch(spark: SparkSession, batch: DataFrame, stream: str, epoch_id: int, dest_root: str, log_root: str,
-               spec: CampaignSpec) -> DataFrame:
+def sync_batch(spark: SparkSession, batch: DataFrame, stream: str, epoch_id: int, root: str, spec: CampaignSpec,
+               fan_in: int = FAN_IN) -> DataFrame:
     """Sync one batch; returns its run summary (of the first delivery)."""
-    if "seq" not in batch.columns:
-        batch = batch.withColumn("seq", F.lit(0).cast("bigint"))
-    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapsewise-stream/{stream}/{epoch_id}"
-    # Keys do not depend on the destination; at most BUCKETS numbers come back.
-    keys = classify(batch, empty_destination(spark), spec).filter("idempotency_key IS NOT NULL")
-    buckets = sorted(r.bucket for r in keys.select(key_bucket().alias("bucket")).distinct().collect())
-    current = current_state(spark, dest_root, buckets)
-    classify(batch, current, spec).write.mode("overwrite").parquet(f"{scratch}/classified")
-    c = spark.read.parquet(f"{scratch}/classified")
-    log_path = f"{log_root.rstrip('/')}/stream={stream}/batch_id={epoch_id}"
-    if not _path_exists(spark, f"{log_path}/_SUCCESS"):
-        log = c.select(F.lit(f"{stream}-{epoch_id}").alias("run_id"), F.col("seq").cast("bigint").alias("seq"),
-                       "idempotency_key", "member_id", "action", "reason")
-        log.write.mode("overwrite").parquet(log_path)
-    after = next_snapshot(c, current, spec.campaign_at).withColumn("bucket", key_bucket())
-    after.write.mode("overwrite").parquet(f"{scratch}/after")  # read before it is overwritten
-    (spark.read.parquet(f"{scratch}/after").repartition("bucket").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(dest_root))
-    return run_summary(spark.read.parquet(log_path))
-
-
-def start_sync_stream(records: DataFrame, dest_root: str, log_root: str, checkpoint: str, spec: CampaignSpec,
-                      trigger: dict | None = None):
-    """Start the streaming sync; ``records`` is a streaming DataFrame of
-    activation records (optionally with ``seq``)."""
+    store = MembershipStore(spark, root, fan_in)
+    if store.latest().applied.get(stream, -1) < epoch_id:
+        if "seq" not in batch.columns:
+            batch = batch.withColumn("seq", F.lit(0).cast("bigint"))
+        staged = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapsewise-stream/{stream}/{epoch_id}/classified"
+        # Keys do not depend on the destination.
+        current = store.snapshot(*touched(classify(batch, empty_destination(spark), spec)))
+        classify(batch, current, spec).write.mode("overwrite").parquet(staged)
+        sync_into(store, spark.read.parquet(staged), current, spec, stream, epoch_id, f"{stream}-{epoch_id}")
+        store.compact()
+    return run_summary(store.log(stream, epoch_id))
+
+
+def start_sync_stream(records: DataFrame, root: str, checkpoint: str, spec: CampaignSpec, trigger: dict | None = None,
+                      fan_in: int = FAN_IN):
+    """Start the streaming sync into the destination below ``root``; ``records`` is a
+    streaming DataFrame of activation records (optionally with ``seq``)."""
     spark = records.sparkSession
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         # the identity that the checkpoint gave the query
         stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        sync_batch(spark, batch, stream, epoch_id, dest_root, log_root, spec)
+        sync_batch(spark, batch, stream, epoch_id, root, spec, fan_in)
 
     writer = records.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     return writer.start()
-
-
-def read_log(spark: SparkSession, log_root: str) -> DataFrame:
-    return spark.read.parquet(log_root)

@@ -146,66 +146,35 @@ def test_duplicate_in_batch_equal_then_different_payload(spark, spec):
     assert res.destination.first().activation_channel == "push"
 
 
+def stream(spark, src, root, checkpoint, spec, schema):
+    from lapsewise.streaming.sync_stream import start_sync_stream
+
+    start_sync_stream(spark.readStream.schema(schema).parquet(str(src / "*")), root, str(checkpoint), spec).awaitTermination(120)
+
+
 def test_stream_sync_is_idempotent_under_redelivery(spark, spec, tmp_path):
-    from lapsewise.streaming.sync_stream import read_log, start_sync_stream
+    from lapsewise.streaming.sync_stream import current_state, read_log
 
-    src = tmp_path / "in"
+    src, root = tmp_path / "in", str(tmp_path / "dest")
     batch = spark.createDataFrame([rec(member=f"s{i}", seq=i) for i in range(10)], REC_SCHEMA)
     batch.write.parquet(str(src / "b1"))
-    schema = batch.schema
-    dest, log, ck = str(tmp_path / "dest"), str(tmp_path / "log"), str(tmp_path / "ck")
-    q = start_sync_stream(spark.readStream.schema(schema).parquet(str(src / "*")), dest, log, ck, spec)
-    q.awaitTermination(120)
+    stream(spark, src, root, tmp_path / "ck", spec, batch.schema)
     # redeliver the same records as a new file -> next micro-batch
     batch.write.parquet(str(src / "b2"))
-    q = start_sync_stream(spark.readStream.schema(schema).parquet(str(src / "*")), dest, log, ck, spec)
-    q.awaitTermination(120)
-    lg = read_log(spark, log)
-    per_batch = {r.batch_id: (r.created, r.unchanged) for r in lg.groupBy("batch_id").agg(
+    stream(spark, src, root, tmp_path / "ck", spec, batch.schema)
+    per_batch = {r.batch_id: (r.created, r.unchanged) for r in read_log(spark, root).groupBy("batch_id").agg(
         F.count_if(F.col("action") == "created").alias("created"),
         F.count_if(F.col("action") == "unchanged").alias("unchanged")).collect()}
     assert sorted(per_batch.values()) == [(0, 10), (10, 0)]
-    from lapsewise.streaming.sync_stream import current_state
-
-    assert current_state(spark, dest).count() == 10
+    assert current_state(spark, root).count() == 10
     # a fresh checkpoint starts again at batch 0: nothing is lost or made twice
-    q = start_sync_stream(spark.readStream.schema(schema).parquet(str(src / "*")), dest, log, str(tmp_path / "ck2"), spec)
-    q.awaitTermination(120)
-    assert current_state(spark, dest).count() == 10
-    again = read_log(spark, log)
+    stream(spark, src, root, tmp_path / "ck2", spec, batch.schema)
+    assert current_state(spark, root).count() == 10
+    again = read_log(spark, root)
     assert again.select("stream").distinct().count() == 2 and again.count() == 40
     assert again.filter("action = 'created'").count() == 10
 
 
-def test_stream_batch_that_died_between_its_writes(spark, spec, tmp_path, monkeypatch):
-    from lapsewise.streaming import sync_stream as S
-
-    dest, log = str(tmp_path / "dest"), str(tmp_path / "log")
-    batch = spark.createDataFrame([rec(member=f"s{i}", seq=i) for i in range(10)], REC_SCHEMA)
-
-    def die(*args, **kwargs):
-        raise RuntimeError("lost")
-
-    monkeypatch.setattr(S, "next_snapshot", die)
-    with pytest.raises(RuntimeError, match="lost"):
-        S.sync_batch(spark, batch, "one", 0, dest, log, spec)
-    monkeypatch.undo()
-    for _ in range(2):  # delivered again, and once more
-        assert S.sync_batch(spark, batch, "one", 0, dest, log, spec).first().created == 10
-    assert S.current_state(spark, dest).count() == 10 and S.read_log(spark, log).count() == 10
-
-
-def test_stream_reads_only_the_buckets_of_a_batch(spark, spec, tmp_path):
-    from lapsewise.streaming import sync_stream as S
-
-    dest = str(tmp_path / "dest")
-    batch = spark.createDataFrame([rec(member=f"s{i}", seq=i) for i in range(40)], REC_SCHEMA)
-    S.sync_batch(spark, batch, "one", 0, dest, str(tmp_path / "log"), spec)
-    some = spark.read.parquet(dest).first().bucket
-    plan = S.current_state(spark, dest, [some])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
-
-
 def test_previous_in_key_of_a_million_rows_equals_plain_lag(spark):
     """All columns are read, one key holds a third of the rows."""
     from pyspark.sql import Window
