@@ -61,6 +61,21 @@ def activation_records(audience: DataFrame, assignments: DataFrame, m360: DataFr
     )
 
 
+def in_member_order(records: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """O-4: adds ``seq``, the 0-based place in member order.
+
+    Ranges of members are numbered apart and offset by the sizes of the ranges
+    before them (one row a range). ``stage`` materialises the ranges, so that both
+    see the same ones."""
+    order = ["member_id", "campaign_id", "variant"]
+    ranged = stage(records.repartitionByRange("member_id").withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = ranged.withColumn("_place", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return placed.join(sizes, "_range").select(*records.columns, (F.col("_before") + F.col("_place") - 1).alias("seq"))
+
+
 def idempotency_key(cols: tuple[str, ...] = IDEMPOTENCY_FIELDS) -> Column:
     """T-3: first 24 hex of sha256('campaign|member|variant')."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY_TEXT)) for c in cols]

@@ -21,11 +21,11 @@ from ..spec import CampaignSpec
 # ---------------------------------------------------------------------------
 GATES = (
     ("data_quality", "all blocking data and campaign-safety checks pass"),
-    ("sample_ratio_mismatch", "p-value >= 0.01"),
-    ("pre_treatment_balance", "maximum absolute SMD < 0.10"),
-    ("statistical_significance", "Bonferroni-adjusted p-value < 0.05"),
+    ("sample_ratio_mismatch", "p-value >= {srm:.2f}"),
+    ("pre_treatment_balance", "maximum absolute SMD < {smd:.2f}"),
+    ("statistical_significance", "Bonferroni-adjusted p-value < {p:.2f}"),
     ("confidence_interval", "95% confidence interval lower bound > 0"),
-    ("unsubscribe_guardrail", "unsubscribe rate <= 1%"),
+    ("unsubscribe_guardrail", "unsubscribe rate <= {unsubscribe:g}%"),
     ("commercial_viability", "scenario ROI > 0%"),
     ("statistical_power", "observed members per arm >= required members per arm"),
 )
@@ -107,6 +107,13 @@ def decision_inputs(
     )
 
 
+def requirements(spec: CampaignSpec) -> list[tuple[str, str]]:
+    """(gate, what it asks for) with the spec's thresholds."""
+    limits = {"srm": spec.srm_p_threshold, "smd": spec.smd_threshold, "p": spec.adjusted_p_threshold,
+              "unsubscribe": spec.unsubscribe_rate_limit * 100}
+    return [(name, text.format(**limits)) for name, text in GATES]
+
+
 def gate_columns(spec: CampaignSpec) -> list[tuple[str, str, Column, Column]]:
     """(name, requirement, observed value, passes) for the eight gates."""
     c = F.col
@@ -131,7 +138,7 @@ def gate_columns(spec: CampaignSpec) -> list[tuple[str, str, Column, Column]]:
         "commercial_viability": c("estimated_roi_pct"),
         "statistical_power": c("observed_members_per_arm").cast("double"),
     }
-    return [(name, req, observed[name], passes[name]) for name, req in GATES]
+    return [(name, requirement, observed[name], passes[name]) for name, requirement in requirements(spec)]
 
 
 def evaluate(inputs: DataFrame, spec: CampaignSpec) -> DataFrame:

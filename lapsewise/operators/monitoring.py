@@ -56,6 +56,19 @@ def destination_reject_alert(log: DataFrame, limit: float = DESTINATION_REJECT_L
     return g.select("*", rate.alias("reject_rate"), F.coalesce(rate > limit, F.lit(False)).alias("alert"))
 
 
+def exposure_alerts(touches: DataFrame, assignments: DataFrame, spec: CampaignSpec) -> DataFrame:
+    """Sends beyond one per member, and touches of control members, in the target
+    campaign; any one is an alert. Touches are counted by member before they meet
+    the assignments."""
+    sent = touches.filter(F.col("campaign_id") == spec.campaign_id).groupBy("campaign_id", "member_id").agg(F.count(F.lit(1)).alias("n"))
+    arms = assignments.filter((F.col("experiment_id") == spec.experiment_id) & (F.col("variant") == spec.control_arm))
+    known = sent.join(arms.select("member_id", F.lit(True).alias("is_control")).distinct(), "member_id", "left")
+    found = known.groupBy("campaign_id").agg(F.sum(F.col("n") - 1).alias("duplicate_sends"),
+                                             F.sum(F.when(F.col("is_control"), F.col("n")).otherwise(0)).alias("control_exposure"))
+    rows = F.array(*[F.struct(F.lit(c).alias("signal"), F.col(c).alias("rows")) for c in ("duplicate_sends", "control_exposure")])
+    return found.select("campaign_id", F.inline(rows)).withColumn("alert", F.col("rows") > 0)
+
+
 def hour_bucket(c: str) -> Column:
     """Start of the hour of a timestamp_ntz, independent of the session time zone
     (``date_trunc`` would go through the session zone and return a zoned type)."""

@@ -335,3 +335,8 @@ def quality_passed(results: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "PASS").alias("rules_passed"),
         F.count(F.lit(1)).alias("rules_total"),
     )
+
+
+def descriptions() -> dict[str, str]:
+    """What each rule says, by its name."""
+    return {r.name: r.description for r in _rules()}

@@ -29,6 +29,7 @@ def treatment_table(comparisons: DataFrame) -> DataFrame:
         (F.col("treatment_rate") * 100.0).alias("conversion_rate_pct"),
         "absolute_uplift_pp", "ci_95_low_pp", "ci_95_high_pp",
         display_p(F.col("bonferroni_p_value")).alias("bonferroni_p_display"),
+        display_pct(F.col("treatment_rate") * 100.0).alias("conversion_rate_display"),
         "guardrail_unsubscribe_rate_pct", "estimated_roi_pct",
     )
 
@@ -55,6 +56,33 @@ def headline(results: DataFrame, decision: DataFrame, quality: DataFrame) -> Dat
     )
 
 
+# Labels of the metrics report.
+ASSUMPTION_NOTE = "Synthetic scenario assumption; not real company financial data."
+PRIMARY_METRIC = "member created at least one listing within 14 days"
+METHODOLOGY = (
+    ("test", "two-sided pooled two-proportion z-test"),
+    ("confidence_interval", "95% Newcombe score interval for absolute difference"),
+    ("multiple_comparison_control", "Bonferroni correction for two treatment arms"),
+    ("estimand", "intention-to-treat incremental conversion"),
+    ("randomization_validation", "sample-ratio-mismatch test plus pre-treatment standardized mean differences"),
+)
+
+
+def commercial_assumptions(spark, spec) -> DataFrame:
+    """S-16: the value and costs that the economics rest on, labelled as assumptions."""
+    rows = [(spec.experiment_id, "value_per_incremental_unit", None, spec.value_per_unit)]
+    for variant, (fixed, message) in sorted(spec.costs.items()):
+        rows += [(spec.experiment_id, "fixed_cost", variant, fixed), (spec.experiment_id, "cost_per_message", variant, message)]
+    schema = "experiment_id string, assumption string, variant string, value double"
+    return spark.createDataFrame(rows, schema).withColumn("note", F.lit(ASSUMPTION_NOTE))
+
+
+def methodology(spark, spec) -> DataFrame:
+    """S-16: how the numbers of the report were made."""
+    rows = [(spec.experiment_id, "primary_metric", PRIMARY_METRIC), *((spec.experiment_id, *m) for m in METHODOLOGY)]
+    return spark.createDataFrame(rows, "experiment_id string, aspect string, text string")
+
+
 def evidence(results: DataFrame, decision: DataFrame, srm: DataFrame, balance: DataFrame,
              power: DataFrame, spec) -> DataFrame:
     """R-6: the executive evidence row per experiment."""

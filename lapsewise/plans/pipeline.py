@@ -226,27 +226,37 @@ class CampaignRun:
     # activation ---------------------------------------------------------------
     @cached_property
     def activation_records(self) -> DataFrame:
-        from ..operators.activation import activation_records
+        from ..operators.activation import activation_records, in_member_order
 
         recs = activation_records(self.eligible_audience, self.experiment_assignments, self.member_360, self.spec)
+        recs = in_member_order(recs, lambda df: self.store.write(df, "activation_records_ranged"))
         return self._mart(recs, "activation_records")
 
-    def _sync(self, destination: DataFrame, run_id: str, tag: str):
-        from ..operators.activation import sync
+    @cached_property
+    def destination(self):
+        from ..sources.versioned import MembershipStore
+
+        return MembershipStore(self.spark, self.store.path("destination"))
 
-        r = sync(self.activation_records, destination, self.spec, run_id,
-                 stage=lambda c: self._mart(c, f"sync_classified_{tag}"))
-        return self._mart(r.log, f"sync_log_{tag}"), self._mart(r.destination, f"destination_{tag}")
+    def _sync(self, run_id: str, batch_id: int):
+        """One run against the destination: its log and the destination after it."""
+        from ..operators.activation import classify, empty_destination
+        from ..sources.versioned import sync_into, touched
+
+        batch = self.activation_records
+        current = self.destination.snapshot(*touched(classify(batch, empty_destination(self.spark), self.spec)))
+        classified = self._mart(classify(batch, current, self.spec), f"sync_classified_{batch_id}")
+        commit = sync_into(self.destination, classified, current, self.spec, run_id, batch_id, run_id)
+        return self.destination.log(run_id, batch_id), self.destination.snapshot(at=commit)
 
     @cached_property
     def first_sync(self):
-        from ..operators.activation import empty_destination
-
-        return self._sync(empty_destination(self.spark), "initial-sync", "v1")
+        return self._sync("initial-sync", 0)
 
     @cached_property
     def replay_sync(self):
-        return self._sync(self.first_sync[1], "idempotent-replay", "v2")
+        self.first_sync  # noqa: B018 - the run that is replayed
+        return self._sync("idempotent-replay", 1)
 
     @cached_property
     def reconciliation(self) -> DataFrame:
@@ -316,6 +326,8 @@ def run_pipeline(run: CampaignRun, out_dir: str) -> PipelineOutcome:
     put("decision_scenarios", run.decision_sweep, json=True)
     put("funnel", funnel(run.member_360), json=True)
     put("category_distribution", category_distribution(run.eligible_audience), json=True)
+    put("commercial_assumptions", reports.commercial_assumptions(run.spark, run.spec), json=True)
+    put("methodology", reports.methodology(run.spark, run.spec), json=True)
     put("treatment_table", reports.treatment_table(run.comparisons), json=True)
     put("conversion_by_arm", reports.conversion_by_arm(run.experiment_results), json=True)
     put("headline", reports.headline(run.experiment_results, run.decision_report, run.quality_results), json=True)
