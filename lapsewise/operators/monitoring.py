@@ -93,8 +93,13 @@ def cumulative_unsubscribe(touches: DataFrame, spec: CampaignSpec,
     b = sends.join(unsubs, ["campaign_id", "bucket"], "full").select(
         "campaign_id", "bucket", F.coalesce("sent", F.lit(0)).alias("sent"),
         F.coalesce("unsubscribed", F.lit(0)).alias("unsubscribed"))
+    return cumulative_rates(b, limit)
+
+
+def cumulative_rates(buckets: DataFrame, limit: float = CUMULATIVE_UNSUBSCRIBE_LIMIT) -> DataFrame:
+    """Running sends, unsubscribes and their rate from counts per campaign and bucket."""
     run = Window.partitionBy("campaign_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    cum = b.select("campaign_id", "bucket", F.sum("sent").over(run).alias("cumulative_sent"),
+    cum = buckets.select("campaign_id", "bucket", F.sum("sent").over(run).alias("cumulative_sent"),
                    F.sum("unsubscribed").over(run).alias("cumulative_unsubscribed"))
     rate = F.try_divide(F.col("cumulative_unsubscribed").cast("double"), F.col("cumulative_sent"))
     return cum.select("*", rate.alias("cumulative_unsubscribe_rate"),
