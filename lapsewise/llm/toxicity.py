@@ -11,9 +11,11 @@ P(grade > k) over all k. A document is toxic when P(grade > 0) reaches the cut
 that makes fewest errors on the training rows.
 
 Words are counted, terciles taken and the cut is chosen over all labelled rows
-that are not held out, and every marked feature is kept. Only the weights are
-fitted on a sample: about ``EACH`` rows of every feature, all of a rarer one, by a
-hash of their id and weighted by the inverse of their chance to be taken. Rows
+that are not held out, and every marked feature is kept (of more than ``MARKS``
+those with most evidence). Only the weights are
+fitted on a sample: about ``EACH`` rows of every feature (fewer where they would
+pass ``ROWS`` together), all of a rarer one, by a hash of their id and weighted by
+the inverse of their chance to be taken. Rows
 without a marked word differ by label only and stand as counts.
 Every document is graded over its whole text. Null and empty texts have no words.
 Labels that are null or without an id teach nothing; of repeated labels of one
@@ -37,14 +39,28 @@ from pyspark.sql.types import StructField, StructType
 from .common import Scratch, held_out
 
 EACH = 200  # rows of a feature that the weights are fitted on
+ROWS = 60_000  # rows that the weights are fitted on, at most (expected): fewer of each feature beyond
 PREFIXES = (5, 6, 7)
 FALSE_MARKS = 2.0
+MARKS = 1 << 18  # features of a model at most, those with most evidence: bounds what every task gets
+FLUSH = 200_000  # features that a task counts before it sends them on
 GRADES = 4
 PENALTY = 1e-4
 SCORES = "severity double, grade int, toxic_probability double, toxic boolean"
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def features_of(text: str | None) -> Counter:
+    """How often each word of a text occurs, and each word beginning: ``abcde*``
+    stands for the words that begin so. Training and scoring count alike."""
+    counts = Counter(_WORD.findall((text or "").lower()))
+    for size in PREFIXES:
+        for word, n in list(counts.items()):
+            if len(word) >= size and word[-1] != "*":
+                counts[word[:size] + "*"] += n
+    return counts
+
+
 class OrdinalWords:
     """Cumulative-link regression on the occurrences of chosen words."""
 
@@ -56,7 +72,8 @@ class OrdinalWords:
         self.cut = 0.5
 
     def occurrences(self, text: str | None) -> dict[int, int]:
-        """How often each feature occurs; ``abcde*`` stands for words that begin so."""
+        """How often each feature of the model occurs (see ``features_of``); only the
+        beginnings that the model knows are counted."""
         counts = Counter(_WORD.findall((text or "").lower()))
         found = {self.words[w]: counts[w] for w in self.words.keys() & counts.keys()}
         for size in PREFIXES:
@@ -132,16 +149,42 @@ def between(sums: np.ndarray) -> np.ndarray:
     return (distinct[:-1] + distinct[1:]) / 2 if len(distinct) > 1 else distinct + 1
 
 
-def train(docs: DataFrame, labels: DataFrame, each: int = EACH) -> OrdinalWords:
-    scratch = Scratch(docs.sparkSession, "toxicity")
+def labelled(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, toxic, text) of the labelled documents that are not held out.
+
+    The join shuffles the texts once and is written, by the same plan at every size:
+    a broadcast of the labels would only serve small tables."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = docs.select("doc_id", "text").where(~held_out()).join(known, "doc_id")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"(\p{L}+)"), F.lit(1)))
-    prefixes = [F.transform(F.filter(words, lambda w, n=n: F.length(w) >= n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in PREFIXES]
-    # The empty word stands for the row itself.
-    words = F.array_distinct(F.concat(words, *prefixes, F.array(F.lit(""))))
-    counts = chosen.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k"))
+    texts = docs.where(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return scratch.write(texts.hint("merge").join(known.hint("merge"), "doc_id").select("doc_id", "toxic", "text"), "labelled")
+
+
+def feature_counts(chosen: DataFrame) -> DataFrame:
+    """(word, n, k): documents with each feature, and toxic ones. The empty word
+    stands for the document itself."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, k = Counter(), Counter()
+        for batch in batches:
+            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = ["", *features_of(text)]
+                n.update(found)
+                if toxic:
+                    k.update(found)
+                if len(n) > FLUSH:
+                    yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64()), pa.array([k[w] for w in n], pa.int64())], ["word", "n", "k"])
+                    n, k = Counter(), Counter()
+        yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64()), pa.array([k[w] for w in n], pa.int64())], ["word", "n", "k"])
+
+    counted = chosen.select("toxic", "text").mapInArrow(count, "word string, n long, k long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+
+
+def train(docs: DataFrame, labels: DataFrame, each: int = EACH, rows_limit: int = ROWS) -> OrdinalWords:
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    chosen = labelled(docs, labels, scratch)
+    counts = feature_counts(chosen)
     counts = scratch.write(counts, "words")
     total = counts.where("word = ''").first()
     if total is None or not 0 < total.k < total.n:
@@ -153,10 +196,12 @@ def train(docs: DataFrame, labels: DataFrame, each: int = EACH) -> OrdinalWords:
     clean = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - share))).otherwise(0.0)
     evidence = F.when(q > share, F.col("n") * (q * F.log(q / share) + clean)).otherwise(0.0)
     least = math.log(max(1, counts.count()) / FALSE_MARKS)
-    marked = {r.word: r.n for r in counts.where(evidence >= least).select("word", "n").collect()}
+    strongest = counts.select("word", "n", evidence.alias("evidence")).where(F.col("evidence") >= least).orderBy(F.desc("evidence"), "word")
+    marked = {r.word: r.n for r in strongest.limit(MARKS).collect()}
     model = OrdinalWords(sorted(marked))
     if not model.words:
         return model
+    each = min(each, rows_limit / len(model.words))
     chance = np.array([min(1.0, each / marked[w]) for w in model.words])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, each: int = EACH) -> OrdinalWords:
             yield pa.RecordBatch.from_arrays(arrays, ["toxic", "uses", "stands_for", "features", "x"])
 
     span = 1 << 31
-    rows = chosen.select((F.pmod(F.xxhash64("doc_id"), F.lit(span)) / F.lit(float(span))).alias("hash"), "toxic", F.col("text").cast("string").alias("text"))
+    rows = chosen.select((F.pmod(F.xxhash64("doc_id"), F.lit(span)) / F.lit(float(span))).alias("hash"), "toxic", "text")
     rows = scratch.write(rows.mapInArrow(measure, "toxic int, uses double, stands_for double, features array<int>, x array<double>"), "rows")
     terciles = rows.where("toxic = 1").agg(F.percentile_approx("uses", [1 / 3, 2 / 3], 100_000)).first()[0]
     unmarked = rows.where("size(features) = 0").groupBy("toxic").agg(F.count(F.lit(1)).cast("double").alias("n"), F.lit(0.0).alias("uses")).toArrow()
