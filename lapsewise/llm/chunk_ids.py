@@ -3,7 +3,7 @@
 Both vocabularies cut a text into pre-tokens (words, numbers, runs of signs) and
 merge within them only, so the ids of a text are the ids of its pre-tokens in a
 row. A worker keeps the ids of pre-tokens it has met (a table bounded in bytes);
-only new ones reach the library, many at a time. Plain texts are cut here by the
+only new ones reach the library, when they are looked up. Plain texts are cut here by the
 vocabulary's own pattern; of others the blank-separated words are, and words for
 which the libraries could disagree on letters, white space or case (or which hold
 a special token's mark) reach the library as they are.
@@ -49,7 +49,7 @@ def byte_symbols() -> dict[str, int]:
 
 
 class _Ids(dict):
-    """pre-token -> its ids as native array bytes, filled for a batch at a time.
+    """pre-token -> its ids as native array bytes, found when it is first looked up.
 
     Holds at most about ``room`` bytes: when half of it is full, what was met so far
     becomes the older half, of which what is met again moves back."""
@@ -57,39 +57,40 @@ class _Ids(dict):
     def __init__(self, tokenizer, typecode: str, room: int = 0):
         super().__init__()
         self.tokenizer, self.typecode, self.room = tokenizer, typecode, room or CACHE_BYTES
+        self.merge = tokenizer.model.tokenize
         self.symbols = {b: ord(c) for c, b in byte_symbols().items()}
+        self.blank, self.feed = chr(self.symbols[32]), chr(self.symbols[10])
         self.older: dict[str, bytes] = {}
         self.held = 0
 
     def encode(self, text: str) -> bytes:
         return array(self.typecode, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _hold(self, tokens: list[str], ids: list[bytes]) -> None:
-        self.update(zip(tokens, ids))
-        self.held += _ENTRY * len(tokens) + sum(map(len, tokens)) + sum(map(len, ids))
-
-    def learn(self, tokens: set[str]) -> None:
-        """Afterwards ``self[token]`` holds for every given one."""
+    def __missing__(self, token: str) -> bytes:
+        ids = self.older.pop(token, None)
+        if ids is None:
+            ids = self._merged(token) if _PLAIN.fullmatch(token) and _SPECIAL not in token else self.encode(token)
         if self.held > self.room // 2:
             self.older = dict(self)
             self.clear()
             self.held = 0
-        new = tokens - self.keys()
-        if self.older:
-            again = list(new & self.older.keys())
-            self._hold(again, [self.older.pop(t) for t in again])
-            new = new.difference(again)
-        alone = [t for t in new if _SPECIAL in t or not _PLAIN.fullmatch(t)]
-        self._hold(alone, [self.encode(t) for t in alone])
-        plain = list(new.difference(alone))
-        self._hold(plain, self._merged(plain))
-
-    def _merged(self, tokens: list[str]) -> list[bytes]:
-        """Plain pre-tokens need no normaliser and no cutting: the library's model
-        merges their bytes, written as the vocabulary's symbols."""
-        merge, symbols, typecode = self.tokenizer.model.tokenize, self.symbols, self.typecode
-        written = [t.encode().decode("latin-1").translate(symbols) for t in tokens]
-        return [array(typecode, [found.id for found in merge(t)]).tobytes() for t in written]
+        self.held += _ENTRY + len(token) + len(ids)
+        self[token] = ids
+        return ids
+
+    def learn(self, tokens: set[str]) -> None:
+        """Looks every given token up."""
+        for token in tokens:
+            self[token]
+
+    def _merged(self, token: str) -> bytes:
+        """A plain pre-token needs no normaliser and no cutting: the library's model
+        merges its bytes, written as the vocabulary's symbols."""
+        if token.isascii():  # printable ones stand for themselves
+            written = token.replace(" ", self.blank).replace("\n", self.feed)
+        else:
+            written = token.encode().decode("latin-1").translate(self.symbols)
+        return array(self.typecode, [found.id for found in self.merge(written)]).tobytes()
 
 
 class _Encoder:
@@ -99,10 +100,8 @@ class _Encoder:
         raise NotImplementedError
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        self.ids.learn(set().union(*cut))
         of = self.ids.__getitem__
-        return [b"".join(map(of, tokens)) for tokens in cut]
+        return [b"".join(map(of, self.cut(t))) for t in texts]
 
 
 class ByteBpeEncoder(_Encoder):

@@ -130,6 +130,16 @@ def test_held_ids_are_bounded_in_bytes():
         assert chunk_ids._ENTRY * (len(ids) + len(ids.older)) < ids.room + 2 * batch
 
 
+def test_ids_are_found_at_the_first_lookup_without_a_pass_over_the_tokens():
+    from lapsewise.llm import chunk_ids
+
+    ids = chunk_ids._Ids(load_tokenizer(BYTE), "I", room=1 << 12)
+    tokens = [" word", "\n", " \n", " naïve", "%%", "<|endoftext|>", "漢字", "x" * 2000, " word"] * 3
+    assert [ids[t] for t in tokens] == [ids.encode(t) for t in tokens]
+    assert " word" in ids or " word" in ids.older
+    assert ids.held <= ids.room // 2 + chunk_ids._ENTRY + 2000 * 5
+
+
 def test_store_of_an_empty_table(spark, tmp_path):
     token_store.write_store(spark.createDataFrame([], SCHEMA), str(tmp_path / "s"), WORD)
     assert token_store.read_store(spark, str(tmp_path / "s")).collect() == []
