@@ -14,6 +14,10 @@ starts minus earlier ends, counted the same way.
 
 ``campaigns`` has campaign_id and campaign_at, one row a campaign; its size is that
 of the campaign calendar. The result has a row per campaign and member.
+
+A member is read three times a campaign, and has at most one segment a cut and source.
+So members are counted first, and a task gets as many as make ``READINGS_A_TASK``: what
+it sorts does not grow with the tables.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from ..spec import CampaignSpec
 
 SIDES = ("at", "recent", "contact")  # the instant, the start of recent events, the start of contact pressure
 MICROSECOND = "INTERVAL '0.000001' SECOND"
+READINGS_A_TASK = 500_000
 
 
 def _probes(campaigns: DataFrame, spec: CampaignSpec) -> DataFrame:
@@ -54,7 +59,7 @@ def by_next_cut(rows: DataFrame, time: str, calendar: DataFrame, bounds: tuple,
     first, last = bounds
     inside = rows.filter(F.col("member_id").isNotNull() & (F.col(time) < F.lit(last)))
     day = F.greatest(F.to_date(time), F.date_sub(F.to_date(F.lit(first)), 1))
-    placed = inside.withColumn("_day", day).join(calendar, F.col("_day") == F.col("day"))
+    placed = inside.withColumn("_day", day).join(F.broadcast(calendar), F.col("_day") == F.col("day"))
     cut = F.coalesce(F.get(F.filter("cuts", lambda c: c > F.col(time)), F.lit(0)), F.col("later"))
     return placed.groupBy("member_id", cut.alias("cut")).agg(*measures)
 
@@ -89,8 +94,10 @@ def campaign_features(members: DataFrame, listings: DataFrame, events: DataFrame
     # Readings sort behind the segments that end with their cut.
     readings = F.array(*[F.struct(F.lit(r.campaign_id).alias("campaign_id"), F.lit(r.side).alias("side"), F.lit(r.cut).alias("cut"))
                          for r in instants])
-    asked = members.select("member_id").distinct().select("member_id", F.inline(readings))
-    rows = segments.unionByName(asked, allowMissingColumns=True)
+    known = members.select("member_id").distinct()
+    tasks = max(members.sparkSession.sparkContext.defaultParallelism, -(-known.count() * len(instants) // READINGS_A_TASK))
+    asked = known.select("member_id", F.inline(readings))
+    rows = segments.unionByName(asked, allowMissingColumns=True).repartition(tasks, "member_id")
     so_far = Window.partitionBy("member_id").orderBy("cut", F.col("side").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
     totals = ("listings", "sales", "gmv", "events", "watchlist", "purchases", "contacts", "active")
     running = [F.sum(c).over(so_far).alias(c) for c in totals] + [F.max(c).over(so_far).alias(c) for c in ("last_listing_at", "last_activity_at", "latest")]

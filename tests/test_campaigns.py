@@ -59,6 +59,19 @@ def test_sources_are_scanned_once_and_no_campaign_is_joined_to_rows(spark, spec,
     assert "LessThan(event_ts" in plan
 
 
+def test_a_task_reads_a_bounded_number_of_members(spark, spec, tables, monkeypatch):
+    from lapsewise.operators import campaigns as operator
+
+    *sources, campaigns = tables
+    frame = spark.createDataFrame(campaigns, "campaign_id string, campaign_at timestamp_ntz")
+    one = campaign_features(*sources, frame, spec)
+    rows = {tuple(r) for r in one.collect()}
+    monkeypatch.setattr(operator, "READINGS_A_TASK", 10)
+    many = campaign_features(*sources, frame, spec)
+    assert many.rdd.getNumPartitions() == -(-8 * len(campaigns) * 3 // 10)
+    assert {tuple(r) for r in many.collect()} == rows
+
+
 def test_no_campaign(spark, spec, tables):
     with pytest.raises(ValueError, match="no campaign"):
         campaign_features(*tables[:-1], spark.createDataFrame([], "campaign_id string, campaign_at timestamp_ntz"), spec)
