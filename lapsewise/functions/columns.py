@@ -1,11 +1,11 @@
-"""Small Column helpers shared by every operator."""
+"""Small Column and join helpers shared by every operator."""
 
 from __future__ import annotations
 
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,6 +27,12 @@ def minutes(n: int) -> Column:
     return F.make_dt_interval(mins=F.lit(n))
 
 
+def by_key(df: DataFrame) -> DataFrame:
+    """The side of a join that has a row per member or membership: it stays on the
+    executors, also where its files are small enough to be sent through the driver."""
+    return df.hint("merge")
+
+
 def all_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds, F.lit(True))
 

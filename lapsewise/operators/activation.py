@@ -20,7 +20,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import ts
+from ..functions.columns import by_key, ts
 from ..schemas import DESTINATION, DESTINATION_FIELDS, IDEMPOTENCY_FIELDS, SYNC_ACTIONS
 from ..spec import CampaignSpec
 
@@ -53,7 +53,7 @@ def activation_records(audience: DataFrame, assignments: DataFrame, m360: DataFr
         .when(F.col("activation_channel") == "push", F.col("push_consent"))
         .otherwise(F.lit(False))
     )
-    return a.join(x, "member_id").join(m, "member_id").select(
+    return a.join(by_key(x), "member_id").join(by_key(m), "member_id").select(
         "member_id", "campaign_id", "variant", "activation_channel", "preferred_category",
         "historical_listing_count", "marketing_contacts_7d", "audience_created_at",
         "is_suppressed", "within_contact_cap", "has_no_campaign_conflict",
@@ -148,7 +148,7 @@ def previous_in_key(df: DataFrame, key: str, seq: str, tie: str, value: str, out
     carried = F.lag("_last").over(Window.partitionBy(key).orderBy("_block"))
     carry = last.select(key, "_block", carried.alias("_carry"))
     previous = F.when(F.col("_n") > 1, F.col("_before")).otherwise(F.col("_carry"))
-    return local.join(carry, [key, "_block"], "left").select(*[local[c] for c in df.columns], previous.alias(out))
+    return local.join(by_key(carry), [key, "_block"], "left").select(*[local[c] for c in df.columns], previous.alias(out))
 
 
 def classify(batch: DataFrame, destination: DataFrame, spec: CampaignSpec) -> DataFrame:
@@ -166,7 +166,7 @@ def classify(batch: DataFrame, destination: DataFrame, spec: CampaignSpec) -> Da
     valid = rows.filter(F.col("_failure").isNull())
     dest = destination.select("idempotency_key", F.col("payload_hash").alias("_stored_hash"))
     prev = previous_in_key(valid, "idempotency_key", "seq", "payload_hash", "payload_hash", "_prev_in_batch")
-    prev = prev.join(dest, "idempotency_key", "left")
+    prev = prev.join(by_key(dest), "idempotency_key", "left")
     before = F.coalesce(F.col("_prev_in_batch"), F.col("_stored_hash"))
     act = (
         F.when(before.isNull(), F.struct(F.lit(CREATED[0]).alias("action"), F.lit(CREATED[1]).alias("reason")))
@@ -210,7 +210,7 @@ def next_snapshot(classified: DataFrame, destination: DataFrame, synced_at: date
         *[F.col(c).alias(f"_old_{c}") for c in ("member_id", "campaign_id", "variant", "first_synced_at", "last_synced_at")],
     )
     at = ts(synced_at)
-    merged = latest.join(old, "idempotency_key", "left").select(
+    merged = latest.join(by_key(old), "idempotency_key", "left").select(
         "idempotency_key",
         F.coalesce("_old_member_id", "member_id").alias("member_id"),
         F.coalesce("_old_campaign_id", "campaign_id").alias("campaign_id"),
@@ -222,7 +222,7 @@ def next_snapshot(classified: DataFrame, destination: DataFrame, synced_at: date
     )
     if changes_only:
         return merged.filter(F.col("_written")).select(*DESTINATION.fieldNames())
-    kept = destination.join(latest.select("idempotency_key"), "idempotency_key", "left_anti")
+    kept = destination.join(by_key(latest.select("idempotency_key")), "idempotency_key", "left_anti")
     return kept.select(*DESTINATION.fieldNames()).unionByName(merged.select(*DESTINATION.fieldNames()))
 
 

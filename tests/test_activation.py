@@ -175,6 +175,20 @@ def test_stream_sync_is_idempotent_under_redelivery(spark, spec, tmp_path):
     assert again.filter("action = 'created'").count() == 10
 
 
+def test_sync_joins_stay_on_the_executors(spark, spec, tmp_path):
+    """Sides with a row per membership are not sent through the driver, small or not."""
+    def written(df, name):  # files: their small sizes are known
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    batch = written(spark.createDataFrame([rec(member=f"m{k % 5}", category=f"c{k}", seq=k) for k in range(20)], REC_SCHEMA), "batch")
+    stored = written(A.sync(batch, A.empty_destination(spark), spec, "first").destination, "stored")
+    result = A.sync(batch, stored, spec, "second")
+    for df in (result.log, result.destination, A.snapshot_changes(A.classify(batch, stored, spec), stored, spec.campaign_at)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert result.destination.count() == 5 and result.log.count() == 20
+
+
 def test_previous_in_key_of_a_million_rows_equals_plain_lag(spark):
     """All columns are read, one key holds a third of the rows."""
     from pyspark.sql import Window
