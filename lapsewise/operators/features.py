@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_where, flag, ts
+from ..functions.columns import by_key, count_where, flag, ts
 from ..spec import CampaignSpec
 
 
@@ -105,11 +105,11 @@ def member_360(
             "member_id", "joined_at", "region", "preferred_channel",
             "email_consent", "push_consent", "is_suppressed",
         )
-        .join(listing_features(listings, spec), "member_id", "left")
-        .join(event_features(events, spec) if event_rollup is None
-              else event_features_from_rollup(event_rollup, events, spec), "member_id", "left")
-        .join(contact_features(touches, spec), "member_id", "left")
-        .join(exclusion_features(exclusions, spec), "member_id", "left")
+        .join(by_key(listing_features(listings, spec)), "member_id", "left")
+        .join(by_key(event_features(events, spec) if event_rollup is None
+                     else event_features_from_rollup(event_rollup, events, spec)), "member_id", "left")
+        .join(by_key(contact_features(touches, spec)), "member_id", "left")
+        .join(by_key(exclusion_features(exclusions, spec)), "member_id", "left")
     )
     feat = base.select(
         "member_id", "joined_at", "region", "preferred_channel",

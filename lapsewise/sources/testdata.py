@@ -19,7 +19,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import days, hours, minutes, ts
+from ..functions.columns import by_key, days, hours, minutes, ts
 from ..plans.pipeline import CampaignRun
 from ..spec import HISTORICAL_CAMPAIGN, CampaignSpec, testdata_spec
 
@@ -115,7 +115,7 @@ def members_entity(spark: SparkSession, sf_dir: str, consent: DataFrame, spec: C
         )
     )
     snap = consent_snapshot(consent, spec.campaign_at, spec.channels)
-    return base.join(snap, "member_id", "left").select(
+    return base.join(by_key(snap), "member_id", "left").select(
         "member_id", "joined_at", "region", "preferred_channel",
         *[F.coalesce(F.col(f"{ch}_consent"), F.lit(False)).alias(f"{ch}_consent") for ch in ("email", "push")],
         "is_suppressed",

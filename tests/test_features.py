@@ -112,6 +112,18 @@ def test_consent_as_of_matches_window_oracle(spark, spec):
     assert a == b == [("m", "email", "unsubscribed"), ("m", "push", "unsubscribed")]
 
 
+def test_features_of_members_are_not_sent_through_the_driver(spark, spec, tmp_path):
+    rows = dict(members=[member("m1"), member("m2")], listings=[listing("l", "m1", T - 400 * D)], events=[event("e", "m1", T - D)],
+                touches=[touch("t", "m2", T - D)])
+    sources = []
+    for k, df in enumerate(frames(spark, **rows)):  # files: their small sizes are known
+        df.write.parquet(str(tmp_path / str(k)))
+        sources.append(spark.read.parquet(str(tmp_path / str(k))))
+    assert "Broadcast" not in member_360(*sources, spec)._jdf.queryExecution().executedPlan().toString()
+    got = m360(spark, spec, **rows)
+    assert (got["m1"].historical_listing_count, got["m1"].recent_event_count, got["m2"].marketing_contacts_7d) == (1, 1, 1)
+
+
 def test_audience_equals_eligible_members_and_funnel_ends_there(spark, spec):
     r = member_360(*frames(spark, members=[member("a"), member("b", email=False)],
                            listings=[listing("l1", "a", T - 100 * D), listing("l2", "b", T - 100 * D)],
