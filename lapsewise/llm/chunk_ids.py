@@ -168,3 +168,10 @@ def worker_encoder(kind, *args):
         _ENCODERS.clear()
         _ENCODERS[key] = kind(*args)
     return _ENCODERS[key]
+
+
+def release_encoders() -> None:
+    """Give up the encoder that a reused worker holds, with its table: for tasks of
+    operators that encode nothing."""
+    _ENCODERS.clear()
+    _TOKENIZERS.clear()

@@ -29,6 +29,8 @@ bucket has no other member or only members that agree on all that matters.
 Joins on hot buckets are between written tables, so that adaptive execution can
 split them; groupings combine map-side. Rows are told apart by ``doc_id`` and a
 hash of the text; a repeated row is one more place where its strings start.
+A task works on slices of its batches: arrays over a slice's positions take about
+100 bytes for each byte of text, ``SLICE`` bytes (or one longer text) at a time.
 Null text counts as empty, a null ``doc_id`` is an id like any other, texts
 shorter than the span and empty tables come back whole. Other columns, of any
 name, are carried inside a struct.
@@ -44,11 +46,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .chunk_ids import text_slices
+from .chunk_ids import release_encoders
 from .common import Scratch
 
 SPAN = 200
 CLASS = 8192  # different surroundings of a q-gram that one task holds
+SLICE = 400_000  # bytes of texts, side by side, whose positions a task holds at once
+ROWS = 1000  # rows of a batch that a task takes as Python objects at once
+SURROUNDINGS = 2000  # surroundings whose windows a task names at once
 _POSITION = 30  # bits of a position inside one buffer
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd, one a family of names
 _KEY = "doc_id long, text_hash long"
@@ -122,12 +127,23 @@ def anchors(data: np.ndarray, starts: np.ndarray, span: int) -> tuple[np.ndarray
     return grams[at].view(np.int64), around.view(np.int64), text, low - starts[text], high - low
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def _buffers(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, starts) for slices of a batch's texts."""
-    for at, texts in text_slices(batch.column(column).to_pylist()):
-        parts = [t.encode() for t in texts]
-        starts = np.cumsum([0, *map(len, parts)])
-        yield at, np.frombuffer(b"".join(parts), np.uint8), starts
+    """(first row, bytes, starts) for slices of a batch's texts, as they lie in the batch."""
+    texts = batch.column(column).fill_null("").cast(pa.large_binary())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", np.uint8)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + SLICE, side="right")) - 1)
+        yield at, data[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
+        at = to
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -149,14 +165,14 @@ def _surroundings(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.R
     def out(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    for batch in batches:
+    for batch in _parts(batches, ROWS):
         rows = []
         for doc_id, text_hash, text, own in zip(*(batch.column(k).to_pylist() for k in range(4))):
             data = text.encode()
             for a in own:
                 low, more = a["at"] >> 18, a["at"] >> 2 & 0xFFFF
                 rows.append((a["wide"], a["gram"], doc_id, text_hash, a["at"], data[low : low + more + span]))
-            if len(rows) > 20_000:
+            if len(rows) > 5_000:
                 yield out(rows)
                 rows = []
         if rows:
@@ -166,14 +182,18 @@ def _surroundings(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.R
 def _window_names(batch: pa.RecordBatch, span: int) -> tuple[np.ndarray, ...]:
     """Of rows (gram, doc_id, text_hash, at, bytes), for every window: its names in
     both families, its row, its first byte in the text."""
-    at, parts = np.array(batch.column(3)), batch.column(4).to_pylist()
-    q, low, more = span // 4, at >> 18, at >> 2 & 0xFFFF
-    data = np.frombuffer(b"".join(parts), np.uint8)
-    row = np.repeat(np.arange(len(at)), more + 1)
-    inside = np.arange(len(row)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
-    begins = np.cumsum(more + span) - more - span
-    names = [span_names(gram_names(data, q, family), begins[row] + inside, q) for family in (0, 1)]
-    return *names, row, low[row] + inside
+    found = []
+    for first in range(0, batch.num_rows, SURROUNDINGS):
+        rows = batch.slice(first, SURROUNDINGS)
+        at, parts = np.array(rows.column(3)), rows.column(4).to_pylist()
+        q, low, more = span // 4, at >> 18, at >> 2 & 0xFFFF
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        row = np.repeat(np.arange(len(at)), more + 1)
+        inside = np.arange(len(row)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+        begins = np.cumsum(more + span) - more - span
+        names = [span_names(gram_names(data, q, family), begins[row] + inside, q) for family in (0, 1)]
+        found.append((*names, row + first, low[row] + inside))
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def _repeated_inside(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
@@ -197,7 +217,7 @@ def _repeated_inside(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[p
         return pa.RecordBatch.from_arrays([rows.column(1).take(at), rows.column(2).take(at), pa.array(packed)], ["doc_id", "text_hash", "span"])
 
     held: list[pa.RecordBatch] = []
-    for batch in batches:
+    for batch in _parts(batches, SURROUNDINGS):
         gram = np.array(batch.column(0))
         changes = np.flatnonzero(np.diff(gram)) + 1
         if held and len(gram) and held[-1].column(0)[-1].as_py() != gram[0]:
@@ -217,14 +237,12 @@ def _repeated_inside(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[p
 
 def _each_window(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
     names = ["first_name", "second_name", "weight", "doc_id", "text_hash", "start"]
-    for batch in batches:
-        for k in range(0, batch.num_rows, 2000):
-            rows = batch.slice(k, 2000)
-            first, second, row, start = _window_names(rows, span)
-            key = [rows.column(c).take(pa.array(row)) for c in (1, 2)]
-            weight = np.array(rows.column(3))[row] & 3
-            arrays = [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(weight), *key, pa.array(start)]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+    for rows in _parts(batches, SURROUNDINGS):
+        first, second, row, start = _window_names(rows, span)
+        key = [rows.column(c).take(pa.array(row)) for c in (1, 2)]
+        weight = np.array(rows.column(3))[row] & 3
+        arrays = [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(weight), *key, pa.array(start)]
+        yield pa.RecordBatch.from_arrays(arrays, names)
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, class_size: int = CLASS) -> DataFrame:
@@ -237,6 +255,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, class_size: int = CLASS) -
     texts = _keyed(docs)
 
     def first_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for batch in batches:
             for _, data, starts in _buffers(batch, 0):
                 grams, counts = np.unique(anchors(data, starts, span)[0], return_counts=True)
@@ -310,7 +329,7 @@ def removal_report(docs: DataFrame, span: int = SPAN, class_size: int = CLASS) -
     texts, spans = _keyed(docs), repeated_spans(docs, span, class_size)
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, ROWS):
             rows = []
             for text, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data, runs = (text or "").encode(), merged(own)
@@ -336,7 +355,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     joined = joined.select("doc", F.col("doc.text").cast("string").alias("text"), "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, ROWS):
             new = []
             for text, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 new.append(without(text.encode(), merged(own)).decode(errors="ignore") if own else text)

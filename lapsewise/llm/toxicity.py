@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from .chunk_ids import release_encoders
 from .common import Scratch, held_out
 
 EACH = 200  # rows of a feature that the weights are fitted on
@@ -165,6 +166,7 @@ def feature_counts(chosen: DataFrame) -> DataFrame:
     stands for the document itself."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         n, k = Counter(), Counter()
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
